@@ -6,15 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, secrets
+from . import decontamination, licenses, line_crf, packing, quality_rules, secrets, warc
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": lambda s, d: quality_rules.digest(_docs(s, d)),
+    "op3_line_crf": lambda s, d: line_crf.scored(_docs(s, d), s.read.parquet(f"{d}/labels.parquet")),
+    "op4_decontamination": lambda s, d: decontamination.overlaps(_docs(s, d), s.read.parquet(f"{d}/benchmark.parquet")),
+    "op6_packing": lambda s, d: packing.packed(_docs(s, d), _tokenizer()),
+    "op7_warc": lambda s, d: warc.derivatives(s.read.parquet(f"{d}/pages.parquet")),
+    "op8_licenses": lambda s, d: licenses.scanned(_docs(s, d)),
     "op9_secrets": lambda s, d: secrets.digest(_docs(s, d)),
 }
 ORACLES = {"op2_quality_rules": quality_rules.ORACLE, "op9_secrets": secrets.ORACLE}
