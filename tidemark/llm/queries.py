@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, licenses, line_crf, packing, quality_rules, secrets, warc
+from . import decontamination, licenses, line_crf, near_dedup, packing, quality_rules, secrets, warc
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": lambda s, d: quality_rules.digest(_docs(s, d)),
     "op3_line_crf": lambda s, d: line_crf.scored(_docs(s, d), s.read.parquet(f"{d}/labels.parquet")),
     "op4_decontamination": lambda s, d: decontamination.overlaps(_docs(s, d), s.read.parquet(f"{d}/benchmark.parquet")),
+    "op5_near_dedup": lambda s, d: near_dedup.linked(_docs(s, d), shingle=4),
     "op6_packing": lambda s, d: packing.packed(_docs(s, d), _tokenizer()),
     "op7_warc": lambda s, d: warc.derivatives(s.read.parquet(f"{d}/pages.parquet")),
     "op8_licenses": lambda s, d: licenses.scanned(_docs(s, d)),
