@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, licenses, line_crf, near_dedup, packing, quality_rules, secrets, warc
+from . import decontamination, licenses, line_crf, near_dedup, packing, quality_rules, secrets, substring_dedup, warc
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,7 @@ def _tokenizer() -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": lambda s, d: substring_dedup.digest(_docs(s, d)),
     "op2_quality_rules": lambda s, d: quality_rules.digest(_docs(s, d)),
     "op3_line_crf": lambda s, d: line_crf.scored(_docs(s, d), s.read.parquet(f"{d}/labels.parquet")),
     "op4_decontamination": lambda s, d: decontamination.overlaps(_docs(s, d), s.read.parquet(f"{d}/benchmark.parquet")),
