@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, licenses, line_crf, near_dedup, packing, quality_rules, secrets, substring_dedup, warc
+from . import decontamination, licenses, line_crf, near_dedup, packing, quality_rules, secrets, substring_dedup, suffix_dedup, warc
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +29,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc": lambda s, d: warc.derivatives(s.read.parquet(f"{d}/pages.parquet")),
     "op8_licenses": lambda s, d: licenses.scanned(_docs(s, d)),
     "op9_secrets": lambda s, d: secrets.digest(_docs(s, d)),
+    "op10_suffix_dedup": lambda s, d: suffix_dedup.digest(_docs(s, d)),
 }
 ORACLES = {"op2_quality_rules": quality_rules.ORACLE, "op9_secrets": secrets.ORACLE}
