@@ -90,17 +90,22 @@ def _repeated(hashes: Column) -> Column:
     return covered[0]
 
 
+def _once(value: Column) -> Column:
+    """value, as a column that no filter above is rewritten through: else it would be worked out again for every word of a text."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with clean_text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_bad_lines, lost_chars, base_failed and kept."""
     made = ["_words", "_lines", "_good", "_hashes"]
     t = _text(F.col(text))
-    one = docs.withColumns({"_words": words_of(F.col(text)), "_lines": F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), "word_chars": F.length(without(t, SPACES)).cast("long"), "n_symbols": (F.length(t) - F.length(without(t, SYMBOLS))).cast("long")})
+    one = docs.withColumns({"_words": _once(words_of(F.col(text))), "_lines": _once(F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))), "word_chars": F.length(without(t, SPACES)).cast("long"), "n_symbols": (F.length(t) - F.length(without(t, SYMBOLS))).cast("long")})
     two = one.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_good": F.filter("_lines", lambda x: ~line_fails(x)),
-            "_hashes": F.when(F.size("_words") >= WINDOW, F.transform(F.sequence(F.lit(1), F.size("_words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, WINDOW)))),
+            "_good": _once(F.filter("_lines", lambda x: ~line_fails(x))),
+            "_hashes": _once(F.when(F.size("_words") >= WINDOW, F.transform(F.sequence(F.lit(1), F.size("_words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, WINDOW))))),
         }
     )
     three = two.withColumns(
@@ -111,7 +116,7 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
         }
     )
     four = three.withColumns({"lost_chars": F.col("word_chars") - F.length(without(F.col("clean_text"), SPACES)), "base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)})
-    return four.withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * MAX_LOST)).drop(*made)
+    return four.withColumn("kept", _once(~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * MAX_LOST))).drop(*made)
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
