@@ -9,7 +9,7 @@ units that they cover are the run's segment: a window is in exactly one segment.
    (with the number of places and the first of them) from here on, so that a passage that a third of all texts hold
    is one row from each task.
 3. Segments of frequent anchors can still be many, each with its own surroundings. Their windows are counted by hash,
-   one by one, and only the windows that are there twice or more go on.
+   one by one; runs of windows that are there twice or more go on as segments, and equal ones are one again.
 4. Segments are dealt to shards by anchor; a shard is indexed as a whole (FM-index or suffix array) and tells which
    windows of which segments are repeated.
 5. What it says is carried to all places of the segments, and texts drop what their windows cover.
@@ -163,7 +163,7 @@ def _segments(rows: DataFrame, chosen: DataFrame, units: Units, batch_bytes: int
             for i, (d, a, b, f) in enumerate(zip(doc.tolist(), lo.tolist(), ends.tolist(), base.tolist(), strict=True)):
                 t = part(d, a, b)
                 texts.append(t)
-                sh[i] = xxhash.xxh3_64_intdigest(raw[8 * (f + a) : 8 * (f + b)] if raw is not None else t)
+                sh[i] = _hash(raw, 8 * (f + a), 8 * (f + b)) if raw is not None else _hash(t, 0, len(t))
             take = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor), pa.array(hot), _signed(sh), batch.column(0).take(take), batch.column(1).take(take), pa.array(lo), pa.array(hi - lo + 1), pa.array(texts, pa.binary())], [c.split()[0] for c in _PLACES.split(", ")]
@@ -172,8 +172,12 @@ def _segments(rows: DataFrame, chosen: DataFrame, units: Units, batch_bytes: int
     return rows.join(chosen, ["did", "th"]).select("did", "th", "text", "anchors").mapInArrow(cut, _PLACES)
 
 
-def _thinned(distinct: DataFrame, units: Units, batch_bytes: int) -> DataFrame:
-    """distinct with windows: null (all) or, for segments of frequent anchors at one place, those windows whose hash is there twice or more; without segments that have none."""
+def _hash(part: bytes, a: int, b: int) -> int:
+    return xxhash.xxh3_64_intdigest(part[a:b])
+
+
+def _thinned(single: DataFrame, frequent: DataFrame, units: Units, batch_bytes: int) -> DataFrame:
+    """Of segments at one place, the runs of windows whose hash is there twice or more among all segments of frequent anchors, as segments of their own (_PLACES). What surrounds a frequent passage falls away, and what is left of it is equal again."""
 
     def every(batches):
         for batch in small_batches(batches, batch_bytes):
@@ -183,40 +187,44 @@ def _thinned(distinct: DataFrame, units: Units, batch_bytes: int) -> DataFrame:
             row = pa.array(np.repeat(np.arange(len(n)), n))
             yield pa.RecordBatch.from_arrays([_signed(ngrams(u, units.window)[at]), *(batch.column(i).take(row) for i in (0, 1, 2)), pa.array(at - np.repeat(first[:-1], n))], ["wh", "anchor", "sh", "n", "i"])
 
-    cold = distinct.filter("NOT hot OR n > 1").withColumn("windows", F.lit(None).cast("array<long>"))
-    windows = distinct.filter("hot").select("anchor", "sh", "n", "text").mapInArrow(every, "wh long, anchor long, sh long, n long, i long")
+    def cut(batches):
+        for batch in small_batches(batches, batch_bytes):
+            u, first, part = units.of(batch.column(5).to_pylist())
+            raw, wide = (u.tobytes(), 8) if units.words else (b"".join(batch.column(5).to_pylist()), 1)
+            row, lo, n, sh, texts = [], [], [], [], []
+            for r, w in enumerate(batch.column(6).to_pylist()):
+                w = np.unique(w)
+                for run in np.split(w, np.flatnonzero(np.diff(w) > 1) + 1):
+                    a, b = int(run[0]), int(run[-1]) + units.window
+                    row.append(r), lo.append(a), n.append(len(run)), texts.append(part(r, a, b))
+                    sh.append(_hash(raw, wide * (int(first[r]) + a), wide * (int(first[r]) + b)))
+            take = pa.array(row, pa.int64())
+            start = batch.column(4).to_numpy()[np.array(row, np.int64)] + np.array(lo, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), pa.array(np.ones(len(row), bool)), _signed(np.array(sh, U)), batch.column(2).take(take), batch.column(3).take(take), pa.array(start), pa.array(n, pa.int64()), pa.array(texts, pa.binary())],
+                [c.split()[0] for c in _PLACES.split(", ")],
+            )
+
+    windows = frequent.select("anchor", "sh", "n", "text").mapInArrow(every, "wh long, anchor long, sh long, n long, i long")
     twice = windows.groupBy("wh").agg(F.sum("n").alias("m")).filter("m > 1").select("wh")
     left = windows.filter("n = 1").join(twice, "wh").groupBy("anchor", "sh").agg(F.collect_list("i").alias("windows"))
-    return cold.unionByName(distinct.filter("hot AND n = 1").join(left, ["anchor", "sh"]))
+    return single.join(left, ["anchor", "sh"]).select("anchor", "sh", "did", "th", "start", "text", "windows").mapInArrow(cut, _PLACES)
 
 
 @dataclass
 class Shard:
-    """Parts of segments: words as dense ids or bytes, one after the other, with each part's first unit (and the end); row has each part's row, offset its first window there, weight the number of places."""
+    """Segments: words as dense ids or bytes, one after the other, with each segment's first unit (and the end); weight is the number of places."""
 
     units: np.ndarray
     first: np.ndarray
-    row: np.ndarray
-    offset: np.ndarray
     weight: np.ndarray
 
 
-def _parts(table: pa.Table, units: Units) -> Shard:
+def _joined(table: pa.Table, units: Units) -> Shard:
     texts = table.column("text").to_pylist()
     h, first, _ = units.of(texts)
     values = np.unique(h, return_inverse=True)[1] if units.words else np.frombuffer(b"".join(texts), np.uint8)
-    lo, n, row = [], [], []
-    for r, w in enumerate(table.column("windows").to_pylist()):
-        if w is None:
-            lo.append(0), n.append(int(first[r + 1] - first[r])), row.append(r)
-            continue
-        w = np.sort(np.asarray(w))
-        for run in np.split(w, np.flatnonzero(np.diff(w) > 1) + 1):
-            lo.append(int(run[0])), n.append(len(run) + units.window - 1), row.append(r)
-    lo, n, row = np.array(lo, np.int64), np.array(n, np.int64), np.array(row, np.int64)
-    at = np.concatenate([[0], np.cumsum(n)])
-    idx = np.repeat(first[row] + lo - at[:-1], n) + np.arange(at[-1])
-    return Shard(values[idx], at, row, lo, table.column("n").to_numpy()[row])
+    return Shard(values, first, table.column("n").to_numpy())
 
 
 def ranges(flags: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -238,20 +246,28 @@ def repeated(rows: DataFrame, units: Units, search: Callable[[Shard, pa.Table],
     cut = _segments(rows, chosen, units, batch_bytes)
     # one pass over the texts: places and texts of segments are written together, the text once per task and segment
     places = written(cut, "places")
-    first = F.min(F.struct("did", "th", "start"))
-    distinct = places.groupBy("anchor", "sh").agg(F.count("*").alias("n"), first.alias("at"), F.max("hot").alias("hot"), F.first("text").alias("text")).select("anchor", "sh", "n", "at.*", "hot", "text")
-    distinct = written(distinct, "distinct")
+
+    def classes(segments: DataFrame) -> DataFrame:
+        kept = segments.groupBy("anchor", "sh").agg(F.sum("n").alias("n"), F.min("at").alias("at"), F.max("hot").alias("hot"), F.first("text").alias("text"))
+        return kept.select("anchor", "sh", "n", "at.*", "hot", "text")
+
+    at = F.struct("did", "th", "start").alias("at")
+    distinct = written(classes(places.select("anchor", "sh", F.lit(1).cast("long").alias("n"), at, "hot", "text")), "distinct")
+    single = F.col("hot") & (F.col("n") == 1)
+    if distinct.filter(single).limit(1).count():
+        cut_again = written(_thinned(distinct.filter(single), distinct.filter("hot"), units, batch_bytes), "thinned")
+        places = places.unionByName(cut_again)
+        again = cut_again.select("anchor", "sh", F.lit(1).cast("long").alias("n"), at, "hot", "text")
+        distinct = written(classes(distinct.filter(~single).select("anchor", "sh", "n", at, "hot", "text").unionByName(again)), "distinct")
     shards = max(1, int(distinct.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]) // units.shard)
 
     def of_shard(table: pa.Table) -> pa.Table:
-        shard = _parts(table, units)
-        rows, lo, hi = [], [], []
-        for part, a, b in ranges(search(shard, table), shard.first):
-            rows.append(shard.row[part]), lo.append(shard.offset[part] + a), hi.append(shard.offset[part] + b)
-        own = table.select(["anchor", "sh", "n", "did", "th", "start"]).take(pa.array(rows, pa.int64()))
-        return own.append_column("lo", pa.array(lo, pa.int64())).append_column("hi", pa.array(hi, pa.int64()))
-
-    dealt = _thinned(distinct, units, batch_bytes).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+        shard = _joined(table, units)
+        found = list(ranges(search(shard, table), shard.first))
+        own = table.select(["anchor", "sh", "n", "did", "th", "start"]).take(pa.array([r for r, _, _ in found], pa.int64()))
+        return own.append_column("lo", pa.array([a for _, a, _ in found], pa.int64())).append_column("hi", pa.array([b for _, _, b in found], pa.int64()))
+
+    dealt = distinct.select("anchor", "sh", "n", "did", "th", "start", "text").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     found = written(dealt.groupBy("shard").applyInArrow(of_shard, _FOUND), "found")
     return places.drop("text"), distinct.drop("text"), found
 

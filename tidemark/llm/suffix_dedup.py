@@ -63,9 +63,8 @@ def _search(window: int):
         cls = np.cumsum(np.append(True, lcp[rows[1:]] < window))
         u = unit[rows]
         p = np.searchsorted(shard.first, u, "right") - 1
-        r = shard.row[p]
-        start = table.column("start").to_numpy()[r] + shard.offset[p] + u - shard.first[p]
-        did, th = table.column("did").to_numpy()[r], table.column("th").to_numpy()[r]
+        start = table.column("start").to_numpy()[p] + u - shard.first[p]
+        did, th = table.column("did").to_numpy()[p], table.column("th").to_numpy()[p]
         order = np.lexsort((start, th, did, cls))
         later = np.ones(len(order), bool)
         later[np.flatnonzero(np.append(True, np.diff(cls[order]) != 0))] = False
