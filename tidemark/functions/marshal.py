@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import PAIRS, SIDE
+from .bind import let
 from .keys import lsn_text, time_text
 
 UNCHANGED_TOAST, SQL_NULL = "unchanged-toast-datum", "null"
@@ -15,28 +16,28 @@ def _side(cv: Column) -> Column:
     return F.struct(cv["quoted"].cast("string").alias("q"), cv["type"].alias("t"), cv["value"].alias("v"))
 
 
-def column_pairs(operation: Column, columns: Column, old_columns: Column, old_values: bool = True) -> Column:
-    """name -> (new, old); the absent side is null. Values alone are compared, types and quotes are not. An UPDATE that has no old value for a column, and whose new one is not NULL, is given NULL as the old one."""
+def _pair(operation: Column, new: Column, old: Column, old_values: bool) -> Column:
     none = F.lit(None).cast(SIDE)
-
-    def pair(name: Column, new: Column) -> Column:
-        old = F.try_element_at(old_columns, name)
-        differs = old.isNotNull() & (old["value"] != new["value"])
-        toast = differs & (new["value"] == UNCHANGED_TOAST)
+    differs = old.isNotNull() & (old["value"] != new["value"])
+    toast = differs & (new["value"] == UNCHANGED_TOAST)
+    shown_new = F.when(operation == "DELETE", none).when(toast, _side(old)).otherwise(_side(new))
+    if old_values:
         is_null = (new["value"] == SQL_NULL) & ~new["quoted"]
-        shown_new = F.when(operation == "DELETE", none).when(toast, _side(old)).otherwise(_side(new))
-        if old_values:
-            made_null = F.struct(F.lit("false").alias("q"), new["type"].alias("t"), F.lit(SQL_NULL).alias("v"))
-            shown_old = F.when(operation == "DELETE", _side(new)).when(differs, _side(old)).when(old.isNull() & ~is_null & (operation == "UPDATE"), made_null).otherwise(none)
-        else:
-            shown_old = F.when(operation == "DELETE", _side(new)).otherwise(none)
-        return F.struct(shown_new.alias("new"), shown_old.alias("old"))
+        made_null = F.struct(F.lit("false").alias("q"), new["type"].alias("t"), F.lit(SQL_NULL).alias("v"))
+        shown_old = F.when(operation == "DELETE", _side(new)).when(differs, _side(old)).when(old.isNull() & ~is_null & (operation == "UPDATE"), made_null).otherwise(none)
+    else:
+        shown_old = F.when(operation == "DELETE", _side(new)).otherwise(none)
+    return F.struct(shown_new.alias("new"), shown_old.alias("old"))
 
-    return F.transform_values(columns, pair)
 
+def column_pairs(operation: Column, columns: Column, old_columns: Column, old_values: bool = True) -> Column:
+    """name -> (new, old), by name; the absent side is null. Values alone are compared, types and quotes are not. An UPDATE that has no old value for a column, and whose new one is not NULL, is given NULL as the old one."""
+
+    def pairs(row: Column) -> Column:
+        sides = lambda k: F.struct(F.try_element_at(row["new"], k).alias("new"), F.try_element_at(row["old"], k).alias("old"))
+        return F.map_from_entries(F.transform(F.sort_array(F.map_keys(row["new"])), lambda k: F.struct(k, let(sides(k), lambda c: _pair(row["op"], c["new"], c["old"], old_values)))))
 
-def _sorted_map(m: Column) -> Column:
-    return F.map_from_entries(F.transform(F.array_sort(F.map_keys(m)), lambda k: F.struct(k, m[k])))
+    return let(F.struct(operation.alias("op"), columns.alias("new"), old_columns.alias("old")), pairs)
 
 
 def html_escaped(json: Column) -> Column:
@@ -48,7 +49,7 @@ def html_escaped(json: Column) -> Column:
 
 def marshalled(wal: DataFrame, old_values: bool = True, html_escape: bool = False) -> DataFrame:
     """Adds json to a parsed and stamped stream: null for BEGIN and COMMIT. Rows whose JSON can't be made have null too, and failed true."""
-    pairs = _sorted_map(column_pairs(F.col("operation"), F.col("columns"), F.col("old_columns"), old_values)).cast(PAIRS)
+    pairs = column_pairs(F.col("operation"), F.col("columns"), F.col("old_columns"), old_values).cast(PAIRS)
     entry = F.struct(
         time_text(F.col("server_time_ms")).alias("time"),
         F.col("server_time_ms").alias("time_ms"),

@@ -8,18 +8,22 @@ from pyspark.sql import functions as F
 from ..config import PipelineConfig
 from ..functions.keys import partition_key
 from ..functions.marshal import marshalled
-from ..functions.parse import parsed
+from ..functions.parse import with_columns, with_prelude
 from ..operators import batching, filters, ledger, transactions
 
 
 def messages(raw: DataFrame, config: PipelineConfig, stamp=transactions.stamped) -> DataFrame:
     """Parsed, stamped, filtered, keyed and marshalled rows, BEGIN and COMMIT included. stamp may be the streaming one."""
-    wal = stamp(parsed(raw, mode=config.parse_mode))
+    wal = stamp(with_prelude(raw, mode=config.parse_mode))
     if config.parse_mode == "PERMISSIVE":
-        wal = wal.filter("parse_error IS NULL")
+        wal = wal.filter("operation IS NOT NULL")
     for tables, white, regex in ((config.whitelist, True, False), (config.blacklist, False, False), (config.whitelist_regex, True, True), (config.blacklist_regex, False, True)):
         if tables:
             wal = filters.filtered(wal, tables, white, regex)
+    # columns are parsed last: filtered rows never are, and texts move between tasks more lightly than maps
+    wal = with_columns(wal, mode=config.parse_mode)
+    if config.parse_mode == "PERMISSIVE":
+        wal = wal.filter("parse_error IS NULL")
     keyed = wal.withColumn("partition_key", partition_key(config.partition_method, F.col("relation"), F.col("transaction"), config.partition_count))
     return marshalled(keyed, config.marshal_old_value, config.html_escape)
 

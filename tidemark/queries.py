@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .functions import keys
 from .functions.marshal import marshalled
-from .functions.parse import parsed
+from .functions.parse import parsed, with_columns, with_prelude
 from .operators import batching, filters, ledger, metrics, transactions
 from .sources import wal
 
@@ -43,7 +43,8 @@ def stamped(s: SparkSession, d: str) -> DataFrame:
 
 def rows(s: SparkSession, d: str) -> DataFrame:
     """Keyed by table, with JSON."""
-    return marshalled(stamped(s, d).withColumn("partition_key", F.col("relation")))
+    late = with_columns(transactions.stamped(with_prelude(wal.wal_events(s, d))))
+    return marshalled(late.withColumn("partition_key", F.col("relation")))
 
 
 EV = """
@@ -240,14 +241,14 @@ def _json(where: str):
     return lambda s, d: rows(s, d).filter(where).select("ingest_seq", "json")
 
 
-for _name, _where, _sql in (("e1_delete", "operation = 'DELETE'", "op = 'DELETE'"), ("e6_null_to_value", "relation = 'public.view'", "rel = 'public.view'"), ("e7_insert", "operation = 'INSERT'", "op = 'INSERT'"), ("e11_json", "json IS NOT NULL", "true")):
+for _name, _where, _sql in (("e1_delete", "operation = 'DELETE'", "op = 'DELETE'"), ("e6_null_to_value", "relation = 'public.view'", "rel = 'public.view'"), ("e7_insert", "operation = 'INSERT'", "op = 'INSERT'"), ("e11_json", "operation NOT IN ('BEGIN', 'COMMIT')", "true")):
     QUERIES[_name] = _json(_where)
     ORACLES[_name] = f"WITH {EVJ} SELECT seq AS ingest_seq, json FROM j WHERE {_sql}"
 
 
 def _docs_json(old_values: bool):
     def run(s, d):
-        m = marshalled(transactions.stamped(parsed(wal.wal_docs(s, d))), old_values)
+        m = marshalled(with_columns(transactions.stamped(with_prelude(wal.wal_docs(s, d)))), old_values)
         return m.filter("operation = 'UPDATE'").select("ingest_seq", F.md5(F.col("json").cast("binary")).alias("json_md5"), F.length("json").cast("long").alias("n"))
 
     return run
@@ -265,7 +266,7 @@ QUERIES["e3_toast_noold"], ORACLES["e3_toast_noold"] = _docs_json(False), _docs_
 
 def _orders_json(old_values: bool):
     def run(s, d):
-        m = marshalled(transactions.stamped(parsed(wal.wal_orders(s, d))), old_values)
+        m = marshalled(with_columns(transactions.stamped(with_prelude(wal.wal_orders(s, d)))), old_values)
         return m.filter("operation = 'UPDATE'").select("ingest_seq", "json")
 
     return run
@@ -288,7 +289,7 @@ QUERIES["e5_no_old"], ORACLES["e5_no_old"] = _orders_json(False), _orders_sql(Fa
 
 @query(f"SELECT o_orderkey * 3 + 1 AS ingest_seq, {_entry('(epoch_us(o_orderdate) // 1000)', 'o_orderkey || chr(45) || o_orderkey * 3', '22021976 + 56 * (o_orderkey * 3 + 1)', chr(39) + 'public.orders, public.lineitem' + chr(39), chr(39) + 'TRUNCATE' + chr(39), chr(39) + '{}' + chr(39))} AS json FROM orders WHERE o_orderkey % 97 = 0")
 def e8_truncate(s, d):
-    return marshalled(transactions.stamped(parsed(wal.wal_orders(s, d)))).filter("operation = 'TRUNCATE'").select("ingest_seq", "json")
+    return marshalled(with_columns(transactions.stamped(with_prelude(wal.wal_orders(s, d))))).filter("operation = 'TRUNCATE'").select("ingest_seq", "json")
 
 
 @query(f"WITH {EV} SELECT op AS operation, count(*) AS n, count(*) FILTER (event_id IS NOT NULL) AS with_json FROM s GROUP BY op")
@@ -329,7 +330,7 @@ def _insert_docs_sql() -> str:
 
 @query(f"WITH i AS ({_insert_docs_sql()}) SELECT seq AS ingest_seq, strlen(json) + 100 > 4000 AS dropped FROM i")
 def f4_kafka_size(s, d):
-    m = marshalled(transactions.stamped(parsed(wal.wal_docs(s, d)))).filter("operation = 'INSERT'")
+    m = marshalled(with_columns(transactions.stamped(with_prelude(wal.wal_docs(s, d))))).filter("operation = 'INSERT'")
     return m.select("ingest_seq", batching.too_big(F.octet_length("json") + 100, 4000).alias("dropped"))
 
 
