@@ -8,7 +8,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Shuffle files of a write are not needed once its table stands; batches of whole texts for Python are kept small.
+WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,14 +23,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def _released_shuffles(spark: SparkSession):
-    """Shuffle files of a write are not needed once its table stands."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+def _writing(spark: SparkSession):
+    before = {k: spark.conf.get(k, None) for k in WHILE_WRITING}
+    for k, v in WHILE_WRITING.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -37,7 +39,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     costs a read and not the jobs before. The files go when the application ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    with _released_shuffles(spark):
+    with _writing(spark):
         df.write.option("compression", "zstd").parquet(path)
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
