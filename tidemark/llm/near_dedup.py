@@ -3,13 +3,13 @@
 1. Texts become sets of word shingles (64-bit hashes). Texts with equal sets are one class from here on.
 2. Class representatives get BANDS * ROWS minima; those that share a band are in one bucket. At a similarity of 0.8 a
    pair shares no band with a probability of (1 - 0.8 ** 4) ** 32 < 5e-8.
-3. A bucket's members are first paired with its least member only. Pairs' signatures are compared in batches of BATCH
-   minima; after each batch a pair is dropped if, given the agreements so far and a flat prior, the probability that
+3. Each document is first paired with one other only: of the least members of its buckets, the one that it shares most
+   buckets with. Pairs' signatures are compared in batches of BATCH minima; after each batch a pair is dropped if, given the agreements so far and a flat prior, the probability that
    its similarity reaches the limit is below MISS. Survivors are verified on their full sets.
 4. Components of the verified links are taken. Buckets whose members are all in one component are done: no further
    link can change anything. In the others all pairs of members from different components are compared in the same
-   sequential way, in blocks of members, and survivors are verified on full sets. Pairs never leave a block before
-   they survive, and no bucket is capped.
+   sequential way, in blocks of members, and survivors are verified on full sets in the block. No pair leaves a block
+   unless it links two components, and no bucket is capped.
 5. Components again.
 
 A null or empty text has an empty set, is linked with nothing and kept. Rows that share a doc_id are one document.
@@ -32,7 +32,7 @@ from .components import components
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, BATCH, MISS = 32, 4, 16, 1e-7
-BLOCK = 1000
+BLOCK = 1500
 _FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=U)) | U(1)
 
 
@@ -101,16 +101,22 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(make, "doc_id long, n_shingles long, k1 long, k2 long, sig binary")
 
 
+def _band_keys(sig: np.ndarray) -> np.ndarray:
+    """A hash of each band of each signature."""
+    sig = sig.reshape(-1, BANDS, ROWS).astype(U)
+    key = np.tile(np.arange(1, BANDS + 1, dtype=U), (len(sig), 1))
+    with np.errstate(over="ignore"):
+        for r in range(ROWS):
+            key = mixed(key + sig[:, :, r])
+    return key
+
+
 def _buckets(reps: DataFrame) -> DataFrame:
     """bucket and id for every band of every representative."""
 
     def make(batches):
         for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(U)
-            key = np.tile(np.arange(1, BANDS + 1, dtype=U), (len(sig), 1))
-            with np.errstate(over="ignore"):
-                for r in range(ROWS):
-                    key = mixed(key + sig[:, :, r])
+            key = _band_keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32))
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["bucket", "id"])
 
     return reps.select("id", "sig").mapInArrow(make, "bucket long, id long")
@@ -133,7 +139,7 @@ def _surviving(pairs: DataFrame, reps: DataFrame, steps) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs whose full sets have the similarity."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    own = written(texts.join(ids, "id", "left_semi"), "texts")
+    own = written(texts.join(ids.hint("merge"), "id", "left_semi"), "texts")  # the same plan at every size
     both = pairs.join(own.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(own.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", F.col("tb").alias("text"))
 
     def verify(batches):
@@ -149,11 +155,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return both.mapInArrow(verify, "a long, b long")
 
 
-def _cross_pairs(buckets: DataFrame, labels: DataFrame, reps: DataFrame, steps, block: int) -> DataFrame:
-    """Surviving pairs of members from different components, of buckets that have such members."""
+def _cross_pairs(sig: np.ndarray, ids: np.ndarray, comp: np.ndarray, part: np.ndarray, same_part: bool, bucket: int, steps):
+    """For each member the later members of other components that survive, and that share no band before the bucket's: a pair is met in one bucket only."""
+    bands = sig.reshape(-1, BANDS, ROWS)
+    at = np.argwhere(_band_keys(sig).view(np.int64) == bucket)
+    band = int(at[0, 1]) if len(at) else 0
+    for i in range(len(ids)):
+        other = np.flatnonzero((comp != comp[i]) & (ids > ids[i]) & (same_part | (part != part[i])))
+        if len(other):
+            other = other[_alive(sig[i], sig[other], steps)]
+        if len(other) and band:
+            other = other[~(bands[other, :band] == bands[i, :band]).all(2).any(1)]
+        if len(other):
+            yield i, other
+
+
+def _involved(buckets: DataFrame, labels: DataFrame, reps: DataFrame, steps, block: int) -> DataFrame:
+    """bucket, p, q, part, id, component: members with a surviving pair, of buckets with members from different components. Large buckets are cut into blocks, and each block meets each other one in a group of its own."""
     member = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed_up = member.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo < hi").withColumn("parts", F.ceil(F.col("n") / block).cast("int")).select("bucket", "parts")
-    # each block of members meets each other block once, in a group of its own
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     dealt = (
         member.join(mixed_up, "bucket")
@@ -165,17 +185,51 @@ def _cross_pairs(buckets: DataFrame, labels: DataFrame, reps: DataFrame, steps,
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(group["sig"]), np.uint32).reshape(-1, BANDS * ROWS)
-        ids, comp, part = group["id"].to_numpy(), group["component"].to_numpy(), group["part"].to_numpy()
-        same_part = group["p"].iat[0] == group["q"].iat[0]
-        left, right = [], []
-        for i in range(len(ids)):
-            other = np.flatnonzero((comp != comp[i]) & (ids > ids[i]) & (same_part | (part != part[i])))
-            if len(other):
-                hit = other[_alive(sig[i], sig[other], steps)]
-                left.append(np.full(len(hit), ids[i])), right.append(ids[hit])
-        return pd.DataFrame({"a": np.concatenate(left) if left else np.empty(0, np.int64), "b": np.concatenate(right) if right else np.empty(0, np.int64)})
-
-    return dealt.groupBy("bucket", "p", "q").applyInPandas(compare, "a long, b long").distinct()
+        ids, comp, part = (group[c].to_numpy() for c in ("id", "component", "part"))
+        hit = np.zeros(len(ids), bool)
+        for i, other in _cross_pairs(sig, ids, comp, part, group["p"].iat[0] == group["q"].iat[0], group["bucket"].iat[0], steps):
+            hit[i] = True
+            hit[other] = True
+        return group.loc[hit, ["bucket", "p", "q", "part", "id", "component"]]
+
+    return dealt.groupBy("bucket", "p", "q").applyInPandas(compare, "bucket long, p int, q int, part int, id long, component long")
+
+
+def _cross_links(involved: DataFrame, texts: DataFrame, n: int, percent: int, steps) -> DataFrame:
+    """Links between components, verified on full sets inside each group: once two components are known to be linked there, their other pairs are not looked at."""
+
+    def verify(group: pd.DataFrame) -> pd.DataFrame:
+        x, at = shingles([t.encode() for t in group["text"]], n)
+        sig = signatures(x, at)
+        ids, comp, part = (group[c].to_numpy() for c in ("id", "component", "part"))
+        sets: dict[int, np.ndarray] = {}
+        up: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while up.get(c, c) != c:
+                c = up[c]
+            return c
+
+        def own(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = np.unique(x[at[i] : at[i + 1]])
+            return sets[i]
+
+        out = []
+        for i, other in _cross_pairs(sig, ids, comp, part, group["p"].iat[0] == group["q"].iat[0], group["bucket"].iat[0], steps):
+            for j in other.tolist():
+                if top(comp[i]) == top(comp[j]):
+                    continue
+                a, b = own(i), own(j)
+                if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+                    continue
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * common >= percent * (len(a) + len(b) - common):
+                    up[top(comp[i])] = top(comp[j])
+                    out.append((ids[i], ids[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return involved.join(texts.hint("merge"), "id").groupBy("bucket", "p", "q").applyInPandas(verify, "a long, b long")
 
 
 def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, miss: float = MISS, block: int = BLOCK, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -190,14 +244,16 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, miss
     every = _buckets(reps)
     least = every.groupBy("bucket").agg(F.min("id").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
     buckets = written(every.join(least, "bucket"), "buckets")
-    stars = buckets.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    # each document meets, of the least members of its buckets, the one that it shares most buckets with
+    shared = buckets.filter("id <> least").groupBy("id", "least").agg(F.count("*").alias("n"))
+    stars = shared.groupBy("id").agg(F.max_by("least", F.struct("n", -F.col("least"))).alias("a")).select("a", F.col("id").alias("b"))
     links = written(_verified(written(_surviving(stars, reps, steps), "pairs"), texts, shingle, percent), "links")
     labels = written(components(links), "labels")
 
-    more = written(_cross_pairs(buckets.select("bucket", "id"), labels, reps, steps, block), "pairs")
-    if more.limit(1).count():
-        all_links = links.union(_verified(more, texts, shingle, percent))
-        labels = written(components(all_links), "labels")
+    involved = written(_involved(buckets.select("bucket", "id"), labels, reps, steps, block), "involved")
+    if involved.limit(1).count():
+        more = written(_cross_links(involved, texts, shingle, percent, steps), "links")
+        labels = written(components(links.union(more)), "labels")
 
     # a doc_id with several texts has several classes: they are one document
     own = sets.join(classes, ["k1", "k2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("id")).alias("id"))
