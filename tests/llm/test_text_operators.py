@@ -1,7 +1,9 @@
 import gzip
 import json
+import random
 import re
 import zlib
+from itertools import combinations
 
 import numpy as np
 import plain
@@ -111,6 +113,48 @@ def test_decontamination_finds_whole_items(spark):
     assert sure <= got
 
 
+def test_decontamination_finds_spread_substitutions(make, spark):
+    def edited(n, places):
+        return " ".join("other" if i in places else f"i{n}w{i}" for i in range(n))
+
+    items = spark.createDataFrame([(n, edited(n, ())) for n in (5, 12, 15, 60)], "item_id long, text string")
+    docs = [(5, edited(5, {2})), (12, edited(12, {4, 8})), (15, edited(15, {3, 7, 11})), (60, edited(60, range(4, 60, 5))), (61, edited(60, range(2, 60, 3)))]
+    got = {(r["doc_id"], r["item_id"], r["matched"]) for r in decontamination.overlaps(make([(i, f"before {t} after") for i, t in docs]), items).collect()}
+    assert got == {(5, 5, 4), (12, 12, 10), (15, 15, 12), (60, 60, 48)}
+
+
+def test_decontamination_finds_all_placements():
+    """Every placement of the substitutions that 80 % allow in items of 3..25 words, and samples in 200 words."""
+    rnd = random.Random(3)
+    for n in [*range(3, 26), 200]:
+        every = list(combinations(range(n), n // 5)) if n < 30 else [rnd.sample(range(n), n // 5) for _ in range(400)] + [range(4, n, 5)]
+        item = [f"w{i}" for i in range(n)]
+        texts = [" ".join(["before", *("other" if i in set(p) else w for i, w in enumerate(item)), "after"]).encode() for p in every]
+        words = decontamination.Words(texts, decontamination.ALNUM, lower=True)
+        side = decontamination.Seeds([(7, decontamination.Words([" ".join(item).encode()], decontamination.ALNUM).hashes())], 13, 0.8)
+        found = decontamination._verified(side, words.hashes(), words.first, 13, 0.8)
+        assert set(found) == {(d, 0) for d in range(len(texts))}
+        assert all(found[d, 0][:2] == (n, n - len(p)) for d, p in enumerate(every))
+
+
+def test_decontamination_is_as_compared_everywhere():
+    rnd = random.Random(4)
+    items = [[rnd.choice("abcdef") for _ in range(rnd.randint(1, 30))] for _ in range(40)]
+    docs = [[rnd.choice("abcdef") if rnd.random() < 0.2 else w for w in rnd.choice(items)[rnd.randint(0, 9) :]] + rnd.choice(items) for _ in range(60)]
+    sure = set()
+    for d, w in enumerate(docs):
+        for k, v in enumerate(items):
+            for start in range(1 - len(v), len(w)):
+                same = {i: w[start + i] == v[i] for i in range(len(v)) if 0 <= start + i < len(w)}
+                a = [i for i in same if same[i] or i == 0]
+                b = [i for i in same if same[i] or i == len(v) - 1]
+                if any(j - i + 1 >= min(13, len(v)) and 5 * sum(same[x] for x in range(i, j + 1)) >= 4 * (j - i + 1) for i in a for j in b if j >= i):
+                    sure.add((d, k))
+    words = decontamination.Words([" ".join(w).encode() for w in docs], decontamination.ALNUM)
+    side = decontamination.Seeds([(k, decontamination.Words([" ".join(v).encode()], decontamination.ALNUM).hashes()) for k, v in enumerate(items)], 13, 0.8)
+    assert sure and set(decontamination._verified(side, words.hashes(), words.first, 13, 0.8)) == sure
+
+
 # ---- packing
 
 def test_plan_is_best_fit():

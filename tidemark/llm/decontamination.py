@@ -1,39 +1,65 @@
 """Benchmark decontamination by spaced seeds.
 
-Words are lower-cased runs of letters and digits (as in licences). A fixed mask of SPAN positions looks at some of
-them and ignores the others; the hashes of all masks at all positions of the benchmark items (the test side) are
-sorted. Training texts are streamed: their hashes are looked up, each hit gives an item and a relative position, and
-around each hit the overlap is verified: on the hit's diagonal, the longest stretch in which MIN_SHARE of the words
-agree at every extension, substitutions counted. A document is contaminated by an item if the agreeing stretch has
-min(MIN_WORDS, the item's words) words or more.
+Words are lower-cased runs of letters and digits (as in licences). A document is contaminated by an item if, on one
+diagonal, a stretch of min(min_words, the item's words) words or more has min_share of its words equal, substitutions
+counted. A stretch begins and ends on a word that agrees or at an end of the item.
+
+A mask looks at some of the words it spans and ignores the others. An item's masks (masks_for) are a run of up to RUN
+words, and every placement of the allowed substitutions that leaves no such run; each acceptable stretch holds one of
+them in full, so none is missed. The hashes of all masks at all positions of the benchmark items (the test side) are
+sorted. Training texts are streamed: their hashes are looked up, each hit gives an item and a diagonal, and each
+diagonal is verified once, word by word, for its longest stretch.
 
 The test side is held by every task, so its size is checked: items are taken in blocks of at most `most_seeds` hashes
-(8 + 8 bytes each) and the training texts are streamed once per block; no item is left out. Items shorter than the
-seeds' span are looked up whole. Null and empty texts and items match nothing. Repeated rows are compared one by one,
-and an item that is there twice is reported under each of its ids. Only doc_id, text, item_id are read.
+(8 + 8 bytes each) and the training texts are streamed once per block; no item is left out. Null and empty texts and
+items match nothing. Repeated rows are compared one by one, and an item that is there twice is reported under each of
+its ids. Only doc_id, text, item_id are read.
 """
 
 from __future__ import annotations
 
+from functools import cache
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import ALNUM, U, Words, mixed, ngrams, small_batches, utf8
+from ._text import ALNUM, U, Words, mixed, small_batches, utf8
 
-#: Masks of 12 positions, 1 is looked at. With three of them every stretch with one substitution in 13 words is hit.
-MASKS = ["111011011011", "110110110111", "101101101111"]
+RUN = 4
 MIN_WORDS, MIN_SHARE = 13, 0.8
 MOST_SEEDS = 2_000_000
-
-
-def _seeds(h: np.ndarray, mask: str, salt: int) -> np.ndarray:
+#: Hits, and words compared, that are held at a time.
+MOST_HITS, MOST_COMPARED = 1 << 19, 1 << 22
+EPS = 1e-9
+
+
+@cache
+def masks_for(words: int, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> tuple[str, ...]:
+    """Masks (1 is looked at) of which each acceptable stretch of an item of so many words holds one.
+
+    L words with s substitutions have a run of (L - s) / (s + 1) words or more. For a run of min_share / (1 - min_share)
+    words or less, only stretches of up to (run - 1) / (1 - min_share) words can do without it; their placements are tried.
+    """
+    least, lost = min(words, min_words), 1 - min_share
+    run = min(RUN, least, max(1, int(min_share / lost + EPS)) if lost > EPS else RUN)
+    out = {"1" * run}
+    for n in range(least, min(words, int((run - 1) / lost + EPS) if lost > EPS else 0) + 1):
+        for places in combinations(range(n), int(lost * n + EPS)):
+            mask = "".join("0" if i in places else "1" for i in range(n))
+            if "1" * run not in mask:
+                out.add(mask.strip("0"))
+    return tuple(sorted(out))
+
+
+def _seeds(h: np.ndarray, mask: str) -> np.ndarray:
     """A hash of the looked-at words at each position."""
     n = len(h) - len(mask) + 1
     if n <= 0:
         return h[:0]
-    out = np.full(n, U(salt + 1))
+    out = np.full(n, U(1))
     with np.errstate(over="ignore"):
         for i, c in enumerate(mask):
             if c == "1":
@@ -42,40 +68,94 @@ def _seeds(h: np.ndarray, mask: str, salt: int) -> np.ndarray:
 
 
 class Seeds:
-    """The test side: sorted hashes with item and position."""
-
-    def __init__(self, items: list[tuple[int, np.ndarray]], masks: list[str]):
-        self.items = items
-        self.shorts = sorted({len(w) for _, w in items if 0 < len(w) < len(masks[0])})
-        h, item, at = [], [], []
+    """The test side: for each mask sorted hashes with item and position; the items' words in one array."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], min_words: int, min_share: float):
+        self.ids = [i for i, _ in items]
+        self.words = np.concatenate([np.empty(0, U), *[w for _, w in items]])
+        self.sizes = np.array([len(w) for _, w in items], np.int64)
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        found: dict[str, list] = {}
         for k, (_, w) in enumerate(items):
-            for salt, mask in enumerate(masks):
-                s = _seeds(w, mask, salt)
-                h.append(s), item.append(np.full(len(s), k)), at.append(np.arange(len(s)))
-            if len(w) in self.shorts:
-                h.append(ngrams(w, len(w))), item.append(np.array([k])), at.append(np.array([0]))
-        self.h = np.concatenate([np.empty(0, U), *h])
-        order = np.argsort(self.h, kind="stable")
-        self.h, self.item, self.at = self.h[order], np.concatenate([np.empty(0, np.int64), *item])[order], np.concatenate([np.empty(0, np.int64), *at])[order]
-
-
-def overlap(train: np.ndarray, test: np.ndarray, start: int, seed: int, span: int, share: float) -> tuple[int, int, int]:
-    """On the diagonal where test[0] meets train[start]: the stretch around the seed, as (first, end, agreeing words) in the test's positions."""
-    lo, hi = max(0, -start), min(len(test), len(train) - start)
-    same = train[start + lo : start + hi] == test[lo:hi]
-    a, b = seed - lo, min(seed + span, hi) - lo
-    good = int(same[a:b].sum())
-    for step in (1, -1):
-        edge = np.cumsum(same[b:] if step == 1 else same[:a][::-1])
-        ok = np.flatnonzero((edge + good) >= share * (b - a + np.arange(1, len(edge) + 1)))
-        ok = ok[(same[b:] if step == 1 else same[:a][::-1])[ok]]  # ends on a word that agrees
-        if len(ok):
-            good += int(edge[ok[-1]])
-            a, b = (a, b + int(ok[-1]) + 1) if step == 1 else (a - int(ok[-1]) - 1, b)
-    return a + lo, b + lo, good
-
-
-def overlaps(docs: DataFrame, benchmark: DataFrame, masks: list[str] = MASKS, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE, most_seeds: int = MOST_SEEDS, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+            for mask in masks_for(len(w), min_words, min_share):
+                s = _seeds(w, mask)
+                found.setdefault(mask, []).append((s, np.full(len(s), k), np.arange(len(s))))
+        self.masks = {}
+        for mask, parts in found.items():
+            h, item, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(h, kind="stable")
+            self.masks[mask] = h[order], item[order], at[order]
+
+
+def _cuts(sizes: np.ndarray, most: int):
+    """Bounds of runs of entries whose sizes come to `most` or less, or of one entry."""
+    total, lo = np.cumsum(sizes), 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + most, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def _spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for each entry, as many as its size."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def stretch(same: np.ndarray, from_start: bool, to_end: bool, share: float) -> tuple[int, int, int]:
+    """The longest stretch with `share` of its words agreeing, as (first, end, agreeing words): it begins and ends on a word that agrees, or at an end if that is the item's."""
+    p = np.concatenate([[0], np.cumsum(same)])
+    level = p - share * np.arange(len(p))
+    begins, ends = same.copy(), same.copy()
+    begins[0] |= from_start
+    ends[-1] |= to_end
+    least = np.minimum.accumulate(np.where(begins, level[:-1], np.inf))
+    end = np.flatnonzero(ends) + 1
+    first = np.searchsorted(-least, -(level[end] + EPS), "left")
+    n, good = end - first, p[end] - p[np.minimum(first, end)]
+    if not len(n):
+        return 0, 0, 0
+    k = np.lexsort((first, -good, -n))[0]
+    return int(first[k]), int(end[k]), int(good[k])
+
+
+def _diagonals(s: Seeds, h: np.ndarray, first: np.ndarray):
+    """(document, item, where the item's word 0 falls in h) of the hits, in arrays; each once a mask and chunk."""
+    wide = len(h) + int(s.sizes.max(initial=0)) + 1
+    for mask, (hashes, item, pos) in s.masks.items():
+        t = _seeds(h, mask)
+        lo = np.searchsorted(hashes, t, "left")
+        at = np.flatnonzero(hashes[np.minimum(lo, len(hashes) - 1)] == t)
+        doc = np.searchsorted(first, at, "right") - 1
+        inside = at + len(mask) <= first[doc + 1]
+        at, doc = at[inside], doc[inside]
+        n = np.searchsorted(hashes, t[at], "right") - lo[at]
+        for a, b in _cuts(n, MOST_HITS):
+            j = _spread(lo[at[a:b]], n[a:b])
+            start = np.repeat(at[a:b], n[a:b]) - pos[j] + wide - len(h) - 1
+            key = np.unique((np.repeat(doc[a:b], n[a:b]) * len(s.ids) + item[j]) * wide + start)
+            yield key // wide // len(s.ids), key // wide % len(s.ids), key % wide - (wide - len(h) - 1)
+
+
+def _verified(s: Seeds, h: np.ndarray, first: np.ndarray, min_words: int, share: float) -> dict[tuple[int, int], tuple[int, int, int, int]]:
+    """For (document, item): words, agreeing words, -word of the document, -word of the item of the longest stretch."""
+    best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+    for doc, item, start in _diagonals(s, h, first):
+        lo = np.maximum(0, first[doc] - start)
+        n = np.minimum(s.sizes[item], first[doc + 1] - start) - lo
+        least = np.minimum(s.sizes[item], min_words)
+        for a, b in _cuts(n, MOST_COMPARED):
+            same = h[_spread(start[a:b] + lo[a:b], n[a:b])] == s.words[_spread(s.begin[item[a:b]] + lo[a:b], n[a:b])]
+            at = np.cumsum(n[a:b]) - n[a:b]
+            for i in np.flatnonzero(np.add.reduceat(same, at, dtype=np.int64) >= share * least[a:b] - EPS).tolist():
+                d, k, x = int(doc[a + i]), int(item[a + i]), int(lo[a + i])
+                here = same[at[i] : at[i] + n[a + i]]
+                f, e, good = stretch(here, x == 0, x + len(here) == s.sizes[k], share)
+                if e - f >= least[a + i]:
+                    best[d, k] = max(best.get((d, k), (0,)), (e - f, good, -(int(start[a + i] - first[d]) + x + f), -(x + f)))
+    return best
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE, most_seeds: int = MOST_SEEDS, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, overlap (words of the longest verified stretch), matched (of them equal), doc_word, item_word (where it starts): one row per row of docs and item that overlap."""
     spark = docs.sparkSession
     out = "doc_id long, item_id long, overlap long, matched long, doc_word long, item_word long"
@@ -88,43 +168,24 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: list[str] = MASKS, mi
             s = shared.value
             for batch in small_batches(batches):
                 words = Words(utf8(batch.column(1)), ALNUM, lower=True)
-                h, first = words.hashes(), words.first
-                best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-                seen = set()
-                for salt, mask in [*enumerate(masks), *((-1, "1" * n) for n in s.shorts)]:
-                    t = _seeds(h, mask, salt) if salt >= 0 else ngrams(h, len(mask))
-                    lo = np.searchsorted(s.h, t, "left")
-                    at = np.flatnonzero(s.h[np.minimum(lo, len(s.h) - 1)] == t) if len(s.h) else np.empty(0, np.int64)
-                    doc = np.searchsorted(first, at, "right") - 1
-                    inside = at + len(mask) <= first[doc + 1]
-                    for p, d in zip(at[inside].tolist(), doc[inside].tolist(), strict=True):
-                        j = int(lo[p])
-                        while j < len(s.h) and s.h[j] == t[p]:
-                            k, q = int(s.item[j]), int(s.at[j])
-                            j += 1
-                            start = p - q - int(first[d])
-                            if (d, k, start) in seen:
-                                continue
-                            test, train = s.items[k][1], h[first[d] : first[d + 1]]
-                            a, b, good = overlap(train, test, start, q, len(mask), min_share)
-                            if good < min_share * (b - a) or b - a < min(min_words, len(test)):
-                                continue
-                            seen.add((d, k, start))
-                            best[d, k] = max(best.get((d, k), (0,)), (b - a, good, -(start + a), -a))
+                best = _verified(s, words.hashes(), words.first, min_words, min_share)
                 rows = sorted(best)
                 ids = batch.column(0).take(pa.array([d for d, _ in rows], pa.int64()))
                 vals = [best[r] for r in rows]
-                yield pa.RecordBatch.from_arrays([ids, pa.array([s.items[k][0] for _, k in rows], pa.int64()), *[pa.array([abs(v[i]) for v in vals], pa.int64()) for i in range(4)]], names)
+                yield pa.RecordBatch.from_arrays([ids, pa.array([s.ids[k] for _, k in rows], pa.int64()), *[pa.array([abs(v[i]) for v in vals], pa.int64()) for i in range(4)]], names)
 
         return docs.selectExpr(f"CAST({doc_id} AS long) AS doc_id", f"{text} AS text").mapInArrow(search, out)
 
     found, items, seeds = None, [], 0
     for row in benchmark.selectExpr(f"CAST({item_id} AS long) AS i", f"{item_text} AS t").filter("t IS NOT NULL").toLocalIterator():
-        items.append((row["i"], Words([row["t"].encode()], ALNUM, lower=True).hashes()))
-        seeds += len(items[-1][1]) * len(masks)
+        words = Words([row["t"].encode()], ALNUM, lower=True).hashes()
+        if not len(words):
+            continue
+        items.append((row["i"], words))
+        seeds += len(words) * len(masks_for(len(words), min_words, min_share))
         if seeds >= most_seeds:
-            found, items, seeds = (block(Seeds(items, masks)) if found is None else found.unionAll(block(Seeds(items, masks)))), [], 0
-    last = block(Seeds(items, masks)) if items or found is None else None
+            found, items, seeds = (block(Seeds(items, min_words, min_share)) if found is None else found.unionAll(block(Seeds(items, min_words, min_share)))), [], 0
+    last = block(Seeds(items, min_words, min_share)) if items or found is None else None
     return last if found is None else found if last is None else found.unionAll(last)
 
 
