@@ -26,3 +26,8 @@ def test_query(spark, data, duck, name):
     a = sorted(tuple(map(str, r)) for r in got.select(cols).collect())
     b = sorted(tuple(map(str, r)) for r in theirs.select(*[f'"{c}"' for c in cols]).fetchall())
     assert a == b
+
+
+def test_written_reports_hold_every_message(spark, data):
+    messages = QUERIES["f2_count_batches"](spark, data).count()
+    assert sum(r["count"] for r in QUERIES["h13_written_all"](spark, data).collect()) == messages

@@ -467,6 +467,11 @@ def h13_written_report(s, d):
     return batching.batch_transactions(batched(s, d).filter("batch_no = 0")).groupBy("transaction", "time_based_key").agg(F.sum("count").alias("count"))
 
 
+@query(f"WITH {BATCHED} SELECT xid::VARCHAR AS transaction, tkey AS time_based_key, count(*) AS count FROM b GROUP BY ALL")
+def h13_written_all(s, d):
+    return batching.batch_transactions(batched(s, d)).groupBy("transaction", "time_based_key").agg(F.sum("count").alias("count"))
+
+
 # ---- I: metrics
 
 _STATS = """st AS (SELECT 'c' || user_id % 3 AS component, CASE WHEN event_type IN ('signup', 'purchase') THEN 'count' ELSE 'histogram' END AS stat_type, event_type AS stat_name, 'cents' AS unit, round(value * 100)::BIGINT AS value, (epoch_us(ts) // 1000) * 1000000 AS ns, (epoch_us(ts) // 1000) * 1000000 + (event_id % 5) * 30000000000 AS arrival FROM events)"""
