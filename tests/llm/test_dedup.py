@@ -102,6 +102,17 @@ def test_near_dedup_edges(make, spark):
     assert near_dedup.linked(make([(1, "x")]).limit(0)).count() == 0
 
 
+def test_near_dedup_of_a_doc_id_with_several_texts(make):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(50)) for x in "abc")
+    docs = [(1, a), (5, a), (5, b), (5, ""), (9, b + " end"), (3, b + " more"), (20, c), (20, ""), (21, c + " end")]
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.linked(make(docs)).collect())
+    assert got == sorted((i, 1 if i < 10 else 20, i in (1, 20)) for i, _ in docs)
+    kept = sorted((r["doc_id"], r["text"]) for r in near_dedup.kept_documents(make(docs[:-3])).collect())
+    assert kept == [(1, a)]
+    apart = near_dedup.kept_documents(make([(1, a), (5, b), (5, c), (9, c + " end")])).collect()
+    assert sorted(r["doc_id"] for r in apart) == [1, 5]
+
+
 def test_band_and_batch_thresholds():
     steps = near_dedup.least_agreements()
     assert [n for n, _ in steps] == list(range(16, 129, 16)) and steps[-1][1] < 0.8 * 128

@@ -12,7 +12,8 @@
    unless it links two components, and no bucket is capped.
 5. Components again.
 
-A null or empty text has an empty set, is linked with nothing and kept. Rows that share a doc_id are one document.
+A null or empty text has an empty set, is linked with nothing and kept. Rows that share a doc_id are one document: what is
+near to one of its texts is in one component with all of them.
 Rows without a doc_id are linked with nothing. Repeated rows are one class. Other columns don't matter.
 """
 
@@ -248,6 +249,12 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, miss
     shared = buckets.filter("id <> least").groupBy("id", "least").agg(F.count("*").alias("n"))
     stars = shared.groupBy("id").agg(F.max_by("least", F.struct("n", -F.col("least"))).alias("a")).select("a", F.col("id").alias("b"))
     links = written(_verified(written(_surviving(stars, reps, steps), "pairs"), texts, shingle, percent), "links")
+    # a doc_id with several texts has several classes: they are one document
+    kind = F.struct("k1", "k2", "n_shingles")
+    several = written(sets.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(kind).alias("lo"), F.max(kind).alias("hi")).filter("lo <> hi").select("doc_id"), "several")
+    ids = sets.filter("n_shingles > 0").join(several, "doc_id").join(classes, ["k1", "k2"]).groupBy("doc_id", "id").count()
+    one = written(ids.groupBy("doc_id").agg(F.min("id").alias("one")), "one")
+    links = links.union(ids.join(one, "doc_id").filter("id <> one").select(F.col("one").alias("a"), F.col("id").alias("b")))
     labels = written(components(links), "labels")
 
     involved = written(_involved(buckets.select("bucket", "id"), labels, reps, steps, block), "involved")
@@ -255,8 +262,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, miss
         more = written(_cross_links(involved, texts, shingle, percent, steps), "links")
         labels = written(components(links.union(more)), "labels")
 
-    # a doc_id with several texts has several classes: they are one document
-    own = sets.join(classes, ["k1", "k2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("id")).alias("id"))
+    own = sets.join(classes, ["k1", "k2"], "left").join(one, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce(F.when(F.col("n_shingles") > 0, F.col("id")), "one").alias("id"))
     found = own.join(labels, "id", "left").select("doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id"))
     return found.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
