@@ -89,6 +89,16 @@ def test_crf_edges(make, small_docs, spark):
     assert all(0 <= r["score"] <= 1 for r in line_crf.scored(make(small_docs), some).collect())
 
 
+def test_line_crf_fits_on_whole_texts(make, spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(line_crf.Field, "fit", lambda self, x, first, label: seen.append((len(x), first.tolist())))
+    docs = [(i, "A line of prose.\n" * 300) for i in range(8)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    used = labels.filter(~line_crf.held_out(F.col("doc_id"))).count()
+    line_crf.fitted(make(docs), labels)
+    assert used and seen == [(300 * used, list(range(0, 300 * used + 1, 300)))]
+
+
 # ---- decontamination
 
 def test_decontamination(make, spark):

@@ -4,8 +4,7 @@ Each line with a word is a position of the chain, labelled good or bad. A positi
 of its neighbours. The field is fitted by gradient ascent on the likelihood of labelled documents (a document's label
 holds for all its lines); forward-backward marginals, weighted by the lines' lengths, give the document's score.
 
-Fitting takes at most about `sample` labelled rows, chosen by a hash of doc_id, and of each at most `lines_each`
-lines; scoring reads whole texts. Only the text is an input of a score. A text without words (null and empty ones
+Fitting takes at most about `sample` labelled rows, chosen by a hash of doc_id; it and scoring read whole texts. Only the text is an input of a score. A text without words (null and empty ones
 too) has score 0. Rows are scored one by one. Labels that are null don't count; with two labels for a doc_id the
 higher one holds. Without any labels all texts with words have score 0.5.
 """
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ._text import NOT_WHITE, U, Words, byte_set, mixed, small_batches, utf8
 
-SAMPLE, LINES_EACH, HELD_OUT, THRESHOLD = 6000, 200, 2, 0.7
+SAMPLE, HELD_OUT, THRESHOLD = 6000, 2, 0.7
 _UPPER = byte_set(bytes(range(0x41, 0x5B)))
 _DIGIT = byte_set(b"0123456789")
 _SYMBOL = byte_set(b"#*$%&|<>{}[]\\^~_=+@/")
@@ -153,7 +152,7 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == HELD_OUT
 
 
-def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines_each: int = LINES_EACH) -> Field:
+def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     """The field of a sample of labelled rows that aren't held out."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").filter(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     n = known.count()
@@ -165,7 +164,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines_each:
     def features(batches):
         for batch in small_batches(batches):
             x, _, first = lines_of(utf8(batch.column(2)))
-            lines = [x[a : min(b, a + lines_each)].astype(np.float32).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+            lines = [x[a:b].astype(np.float32).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lines, pa.binary())], ["doc_id", "label", "x"])
 
     got = sorted((r["doc_id"], r["label"], bytes(r["x"])) for r in joined.mapInArrow(features, "doc_id long, label int, x binary").toLocalIterator())
