@@ -264,6 +264,20 @@ def test_licenses(make, small_docs):
     assert licenses.scanned(make(docs).limit(0)).count() == 0
 
 
+def test_licenses_finds_all_that_is_verified():
+    rnd = random.Random(5)
+    index = licenses.Index({}, 1)
+    for label, notice, key in licenses.TEMPLATES:
+        words, keyed = notice.split(), key.split()
+        at = next(i for i in range(len(words)) if words[i : i + len(keyed)] == keyed)
+        free = [i for i in range(len(words)) if not at <= i < at + len(keyed)]
+        differ = min(len(free), len(words) * 3 // 10)
+        texts = [" ".join("other" if i in places else w for i, w in enumerate(words)).encode() for places in (rnd.sample(free, differ) for _ in range(200))]
+        w = licenses.Words(texts, licenses.ALNUM, lower=True)
+        found = {d for d, name, share in index.found(w.hashes(), w.of_word(), w.first) if name == label}
+        assert found == set(range(len(texts))), label
+
+
 # ---- secrets
 
 def _plain_base(text):

@@ -1,8 +1,9 @@
 """Licence scan with a positional index of rare tokens.
 
-Templates are short fixed notices. For each template the ANCHORS words with the highest inverse document frequency
-(over all documents scanned and then over the templates) are posted with their positions. A file's words that are
-posted vote for (template, position in the file less position in the template); places with enough votes at one
+Templates are short fixed notices. Verification lets some words of a template differ; that many and VOTES more of its
+positions are posted, those of the words with the highest inverse document frequency (over all documents scanned and
+then over the templates), so that every place that reaches SCORE has VOTES votes (fewer if the template has fewer
+positions). A file's words that are posted vote for (template, position in the file less position in the template); places with enough votes at one
 relative position are verified: the share of template words that stand at their places, and the template's mandatory
 key phrase, word for word. Base phrases are found wherever their words stand consecutively.
 
@@ -44,7 +45,7 @@ TEMPLATES = [
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
 ]
-ANCHORS, VOTES, SCORE = 6, 3, 0.7
+VOTES, SCORE = 3, 0.7
 
 
 def _hashed(phrase: str) -> np.ndarray:
@@ -90,9 +91,10 @@ class Index:
         self.need = []
         for k, (_, words, _) in enumerate(self.templates):
             hs = words.view(np.int64).tolist()
-            rare = sorted(set(hs), key=lambda h: (-idf(h), hs.index(h)))[:ANCHORS]
-            self.need.append(min(VOTES, len(rare)))
-            postings += [(h, k, i) for i, h in enumerate(hs) if h in rare]
+            differ = len(hs) - next(c for c in range(len(hs) + 1) if c / len(hs) >= SCORE)
+            rare = sorted(range(len(hs)), key=lambda i: (-idf(hs[i]), i))[: differ + VOTES]
+            self.need.append(len(rare) - differ)
+            postings += [(hs[i], k, i) for i in rare]
         postings.sort(key=lambda p: (np.int64(p[0]).view(np.uint64), p[1], p[2]))
         self.h = np.array([p[0] for p in postings], np.int64).view(np.uint64)
         self.template = np.array([p[1] for p in postings])
