@@ -251,6 +251,15 @@ def test_warc_round_trip(spark):
     assert all(b["block_digest"] == warc.digest(b["content"].encode()) for b in back) and gzip.decompress(data).startswith(b"WARC/1.1\r\n")
 
 
+def test_warc_head_without_closing_tag():
+    head = '<html><HEAD lang="en"><title>No</title>\n<meta charset="utf-8"><!-- <p>no --><script>"<body>"</script><link href="x">'
+    for body in ("<body><p>Text</p> more", "<p>Text</p> more", "<header>Text</header> more"):
+        assert warc.plain_text(head + body) == "Text\nmore"
+        assert warc.plain_text(head + "</head>" + body) == "Text\nmore"
+    assert warc.plain_text(head + "Text") == "Text"
+    assert warc.plain_text(head) == warc.plain_text("<head") == warc.plain_text("<p></p><script>x") == ""
+
+
 # ---- licences
 
 def test_licenses(make, small_docs):

@@ -29,7 +29,9 @@ from ._text import small_batches, utf8
 
 DATE = "2024-01-01T00:00:00Z"
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
-_DROP = re.compile(r"<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)", re.S | re.I)
+#: A head without a closing tag ends before what can't be in one: body, another element, or text.
+_OPEN_HEAD = r"<head\b[^>]*(?:>|\Z)(?:\s|<!--.*?(?:-->|\Z)|<(title|script|style|noscript|template)\b.*?(?:</\2\s*>|\Z)|</?(?:meta|link|base)\b[^>]*(?:>|\Z))*+"
+_DROP = re.compile(r"<(script|style|noscript|template|head)\b.*?</\1\s*>|" + _OPEN_HEAD + r"|<(?:script|style|noscript|template)\b.*|<!--.*?(?:-->|\Z)", re.S | re.I)
 _BREAK = re.compile(r"</?(?:p|br|div|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|main|aside|blockquote|pre|td|th|dd|dt)\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z!?][^>]*(?:>|\Z)")
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
