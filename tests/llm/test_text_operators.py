@@ -133,6 +133,14 @@ def test_decontamination_finds_spread_substitutions(make, spark):
     assert got == {(5, 5, 4), (12, 12, 10), (15, 15, 12), (60, 60, 48)}
 
 
+def test_clean_documents_without_doc_id(make, spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    docs = [(None, f"before {item} after"), (None, "clean text"), (None, None), (1, "clean text"), (2, item), (2, "other text"), (3, None)]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontamination.clean_documents(make(docs), items).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(None, "clean text"), (None, None), (1, "clean text"), (3, None)], key=str)
+
+
 def test_decontamination_finds_all_placements():
     """Every placement of the substitutions that 80 % allow in items of 3..25 words, and samples in 200 words."""
     rnd = random.Random(3)

@@ -157,8 +157,14 @@ def _verified(s: Seeds, h: np.ndarray, first: np.ndarray, min_words: int, share:
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE, most_seeds: int = MOST_SEEDS, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, overlap (words of the longest verified stretch), matched (of them equal), doc_word, item_word (where it starts): one row per row of docs and item that overlap."""
-    spark = docs.sparkSession
-    out = "doc_id long, item_id long, overlap long, matched long, doc_word long, item_word long"
+    rows = docs.selectExpr(f"CAST({doc_id} AS long) AS doc_id", f"{text} AS text")
+    return _found(rows, "long", benchmark, min_words, min_share, most_seeds, item_id, item_text)
+
+
+def _found(rows: DataFrame, kind: str, benchmark: DataFrame, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE, most_seeds: int = MOST_SEEDS, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """overlaps() of rows with doc_id, of any kind, and text."""
+    spark = rows.sparkSession
+    out = f"doc_id {kind}, item_id long, overlap long, matched long, doc_word long, item_word long"
     names = [c.split()[0] for c in out.split(", ")]
 
     def block(seeds: Seeds):
@@ -174,7 +180,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS,
                 vals = [best[r] for r in rows]
                 yield pa.RecordBatch.from_arrays([ids, pa.array([s.ids[k] for _, k in rows], pa.int64()), *[pa.array([abs(v[i]) for v in vals], pa.int64()) for i in range(4)]], names)
 
-        return docs.selectExpr(f"CAST({doc_id} AS long) AS doc_id", f"{text} AS text").mapInArrow(search, out)
+        return rows.mapInArrow(search, out)
 
     found, items, seeds = None, [], 0
     for row in benchmark.selectExpr(f"CAST({item_id} AS long) AS i", f"{item_text} AS t").filter("t IS NOT NULL").toLocalIterator():
@@ -189,7 +195,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS,
     return last if found is None else found if last is None else found.unionAll(last)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of docs that no item overlaps."""
-    leaks = overlaps(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].cast("long") == leaks["_leak"], "left_anti")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """The rows of docs that no item overlaps, nor another row of their doc_id. Rows without a doc_id are told apart by their text."""
+    number, body = docs[doc_id].cast("long"), docs[text]
+    key = F.when(number.isNotNull(), F.concat(F.lit("id "), number.cast("string"))).otherwise(F.concat(F.lit("text "), F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256)))
+    leaks = _found(docs.select(key.alias("doc_id"), body.alias("text")), "string", benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct()
+    return docs.join(leaks, key == leaks["_leak"], "left_anti")
