@@ -115,6 +115,46 @@ def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(cur[:n], cur[w - p : w - p + n])
 
 
+def cuts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of entries whose sizes come to `most` or less, or of one entry."""
+    total, lo = np.cumsum(sizes), 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + most, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for each entry, as many as its size."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def whole_groups(batches, columns: list[str], least: int = 4096) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of about `least` rows or one group, and for each row the number of its group there. Rows with equal columns, which must follow each other, are a group."""
+    held: list[pa.RecordBatch] = []
+    for batch in _ended(batches):
+        if batch is not None:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < least:
+                continue
+        if not held:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys = [table.column(c).to_numpy() for c in columns]
+        new = np.zeros(table.num_rows, bool)
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+        cut = table.num_rows if batch is None else int(np.flatnonzero(new)[-1]) if new.any() else 0
+        if cut:
+            yield table.slice(0, cut), np.cumsum(new[:cut])
+        held = table.slice(cut).to_batches()
+
+
+def _ended(batches):
+    yield from batches
+    yield None
+
+
 def word_hash(word: str) -> np.uint64:
     return Words([word.encode()], np.ones(256, bool) & (np.arange(256) != 0x20)).hashes()[0]
 

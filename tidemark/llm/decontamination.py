@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import ALNUM, U, Words, mixed, small_batches, utf8
+from ._text import ALNUM, U, Words, cuts, mixed, small_batches, spread, utf8
 
 RUN = 4
 MIN_WORDS, MIN_SHARE = 13, 0.8
@@ -87,20 +87,6 @@ class Seeds:
             self.masks[mask] = h[order], item[order], at[order]
 
 
-def _cuts(sizes: np.ndarray, most: int):
-    """Bounds of runs of entries whose sizes come to `most` or less, or of one entry."""
-    total, lo = np.cumsum(sizes), 0
-    while lo < len(sizes):
-        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + most, "right")))
-        yield lo, hi
-        lo = hi
-
-
-def _spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """first, first + 1, ... for each entry, as many as its size."""
-    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-
-
 def stretch(same: np.ndarray, from_start: bool, to_end: bool, share: float) -> tuple[int, int, int]:
     """The longest stretch with `share` of its words agreeing, as (first, end, agreeing words): it begins and ends on a word that agrees, or at an end if that is the item's."""
     p = np.concatenate([[0], np.cumsum(same)])
@@ -129,8 +115,8 @@ def _diagonals(s: Seeds, h: np.ndarray, first: np.ndarray):
         inside = at + len(mask) <= first[doc + 1]
         at, doc = at[inside], doc[inside]
         n = np.searchsorted(hashes, t[at], "right") - lo[at]
-        for a, b in _cuts(n, MOST_HITS):
-            j = _spread(lo[at[a:b]], n[a:b])
+        for a, b in cuts(n, MOST_HITS):
+            j = spread(lo[at[a:b]], n[a:b])
             start = np.repeat(at[a:b], n[a:b]) - pos[j] + wide - len(h) - 1
             key = np.unique((np.repeat(doc[a:b], n[a:b]) * len(s.ids) + item[j]) * wide + start)
             yield key // wide // len(s.ids), key // wide % len(s.ids), key % wide - (wide - len(h) - 1)
@@ -143,8 +129,8 @@ def _verified(s: Seeds, h: np.ndarray, first: np.ndarray, min_words: int, share:
         lo = np.maximum(0, first[doc] - start)
         n = np.minimum(s.sizes[item], first[doc + 1] - start) - lo
         least = np.minimum(s.sizes[item], min_words)
-        for a, b in _cuts(n, MOST_COMPARED):
-            same = h[_spread(start[a:b] + lo[a:b], n[a:b])] == s.words[_spread(s.begin[item[a:b]] + lo[a:b], n[a:b])]
+        for a, b in cuts(n, MOST_COMPARED):
+            same = h[spread(start[a:b] + lo[a:b], n[a:b])] == s.words[spread(s.begin[item[a:b]] + lo[a:b], n[a:b])]
             at = np.cumsum(n[a:b]) - n[a:b]
             for i in np.flatnonzero(np.add.reduceat(same, at, dtype=np.int64) >= share * least[a:b] - EPS).tolist():
                 d, k, x = int(doc[a + i]), int(item[a + i]), int(lo[a + i])

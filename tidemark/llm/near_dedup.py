@@ -4,8 +4,9 @@
 2. Class representatives get BANDS * ROWS minima; those that share a band are in one bucket. At a similarity of 0.8 a
    pair shares no band with a probability of (1 - 0.8 ** 4) ** 32 < 5e-8.
 3. Each document is first paired with one other only: of the least members of its buckets, the one that it shares most
-   buckets with. Pairs' signatures are compared in batches of BATCH minima; after each batch a pair is dropped if, given the agreements so far and a flat prior, the probability that
-   its similarity reaches the limit is below MISS. Survivors are verified on their full sets.
+   buckets with. Pairs' signatures are compared in batches of BATCH minima; after each batch a pair is dropped if, given
+   the agreements so far and a flat prior, the probability that its similarity reaches the limit is below MISS.
+   Survivors are verified on their full sets.
 4. Components of the verified links are taken. Buckets whose members are all in one component are done: no further
    link can change anything. In the others all pairs of members from different components are compared in the same
    sequential way, in blocks of members, and survivors are verified on full sets in the block. No pair leaves a block
@@ -27,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import written
-from ._text import NOT_WHITE, U, Words, mixed, ngrams, small_batches, utf8
+from ._store import discard, written
+from ._text import NOT_WHITE, U, Words, cuts, mixed, ngrams, small_batches, spread, utf8, whole_groups
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, BATCH, MISS = 32, 4, 16, 1e-7
 BLOCK = 1500
+#: Pairs that are compared at a time, and in a task, about; rows of one part of a table.
+PAIRS, PAIRS_A_TASK, PART = 1 << 17, 1 << 28, 1 << 16
 _FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=U)) | U(1)
 
 
@@ -153,47 +156,69 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
                 ok.append(bool(len(sa)) and 100 * common >= percent * (len(sa) + len(sb) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], ["a", "b"])
 
-    return both.mapInArrow(verify, "a long, b long")
+    links = written(both.mapInArrow(verify, "a long, b long"), "links")
+    discard(own)
+    return links
 
 
-def _cross_pairs(sig: np.ndarray, ids: np.ndarray, comp: np.ndarray, part: np.ndarray, same_part: bool, bucket: int, steps):
-    """For each member the later members of other components that survive, and that share no band before the bucket's: a pair is met in one bucket only."""
+def _cross_pairs(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, part: np.ndarray, group: np.ndarray, alone: np.ndarray, bucket: np.ndarray, steps, percent: int):
+    """Pairs (i, j) of rows of one group, of different components and parts (of any parts if alone), that survive and that share no band before their bucket's: a pair is met in one bucket only. Rows are sorted by group and size; sizes too far apart for the similarity are not compared."""
+    end = np.searchsorted(group, group, "right")
+    wide = np.int64(size.max(initial=0)) * 2 + 2
+    end = np.minimum(end, np.searchsorted(group * wide + size, group * wide + np.minimum(size * 100 // percent, wide - 1), "right"))
+    after = np.maximum(end - np.arange(len(end)) - 1, 0)
     bands = sig.reshape(-1, BANDS, ROWS)
-    at = np.argwhere(_band_keys(sig).view(np.int64) == bucket)
-    band = int(at[0, 1]) if len(at) else 0
-    for i in range(len(ids)):
-        other = np.flatnonzero((comp != comp[i]) & (ids > ids[i]) & (same_part | (part != part[i])))
-        if len(other):
-            other = other[_alive(sig[i], sig[other], steps)]
-        if len(other) and band:
-            other = other[~(bands[other, :band] == bands[i, :band]).all(2).any(1)]
-        if len(other):
-            yield i, other
-
-
-def _involved(buckets: DataFrame, labels: DataFrame, reps: DataFrame, steps, block: int) -> DataFrame:
-    """bucket, p, q, part, id, component: members with a surviving pair, of buckets with members from different components. Large buckets are cut into blocks, and each block meets each other one in a group of its own."""
+    for lo, hi in cuts(after, PAIRS):
+        i, j = np.repeat(np.arange(lo, hi), after[lo:hi]), spread(np.arange(lo, hi) + 1, after[lo:hi])
+        ok = (comp[i] != comp[j]) & (alone[i] | (part[i] != part[j]))
+        i, j = i[ok], j[ok]
+        same, done = np.zeros(len(i), np.int64), 0
+        for n, m in steps:
+            same = same + (sig[i, done:n] == sig[j, done:n]).sum(1)
+            go = same >= m
+            i, j, same, done = i[go], j[go], same[go], n
+        for a in range(0, len(i), PAIRS // BANDS):
+            x, y = i[a : a + PAIRS // BANDS], j[a : a + PAIRS // BANDS]
+            shared = (bands[x] == bands[y]).all(2).argmax(1)
+            here = (_band_keys(sig[x]).view(np.int64) == bucket[x][:, None]).argmax(1)
+            yield x[shared >= here], y[shared >= here]
+
+
+def _involved(buckets: DataFrame, labels: DataFrame, reps: DataFrame, steps, block: int, percent: int = PERCENT) -> DataFrame:
+    """bucket, p, q, part, id, component: members with a surviving pair, of buckets with members from different components. Members of a bucket's largest component need not meet each other: they are dealt to blocks of their own, and each block of the others meets these and each other one in a group. So a bucket of one large component and a few others is read about once, whatever its size."""
     member = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed_up = member.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo < hi").withColumn("parts", F.ceil(F.col("n") / block).cast("int")).select("bucket", "parts")
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    counts = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed_up = counts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("kinds")).filter("kinds > 1")
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    mixed_up = written(mixed_up.select("bucket", F.col("main")["component"].alias("main"), blocks(F.col("main")["n"]).alias("mains"), blocks(F.col("n") - F.col("main")["n"]).alias("rests"), F.col("n").alias("members")), "mixed")
+    # the work is pairs, not bytes: tasks are as many as it needs
+    work = mixed_up.agg(F.coalesce(F.sum(F.least(F.col("members"), F.lit(2 * block)) * F.col("members") * F.col("rests")), F.lit(0))).first()[0]
+    tasks = max(int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(work // PAIRS_A_TASK))
+    own = F.col("component") == F.col("main")
+    place = F.xxhash64("id")
     dealt = (
         member.join(mixed_up, "bucket")
-        .withColumn("part", part)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("part", F.when(own, F.col("rests") + F.pmod(place, F.col("mains"))).otherwise(F.pmod(place, F.col("rests"))).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("rests") - 1 + F.when(own, 0).otherwise(F.col("mains")))))
         .select("bucket", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "id", "component")
-        .join(reps.select("id", "sig"), "id")
+        .join(reps.select("id", "n_shingles", "sig"), "id")
+        .repartition(tasks, "bucket", "p", "q")
+        .sortWithinPartitions("bucket", "p", "q", "n_shingles", "id")
     )
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(group["sig"]), np.uint32).reshape(-1, BANDS * ROWS)
-        ids, comp, part = (group[c].to_numpy() for c in ("id", "component", "part"))
-        hit = np.zeros(len(ids), bool)
-        for i, other in _cross_pairs(sig, ids, comp, part, group["p"].iat[0] == group["q"].iat[0], group["bucket"].iat[0], steps):
-            hit[i] = True
-            hit[other] = True
-        return group.loc[hit, ["bucket", "p", "q", "part", "id", "component"]]
+    names = ["bucket", "p", "q", "part", "id", "component"]
 
-    return dealt.groupBy("bucket", "p", "q").applyInPandas(compare, "bucket long, p int, q int, part int, id long, component long")
+    def compare(batches):
+        for table, group in whole_groups(batches, ["bucket", "p", "q"]):
+            bucket, p, q, part, ids, comp, size = (table.column(c).to_numpy() for c in (*names, "n_shingles"))
+            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
+            hit = np.zeros(len(ids), bool)
+            for i, j in _cross_pairs(sig, size, comp, part, group, p == q, bucket, steps, percent):
+                hit[i] = True
+                hit[j] = True
+            yield from table.select(names).filter(pa.array(hit)).to_batches()
+
+    return dealt.mapInArrow(compare, "bucket long, p int, q int, part int, id long, component long")
 
 
 def _cross_links(involved: DataFrame, texts: DataFrame, n: int, percent: int, steps) -> DataFrame:
@@ -201,9 +226,12 @@ def _cross_links(involved: DataFrame, texts: DataFrame, n: int, percent: int, st
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
         x, at = shingles([t.encode() for t in group["text"]], n)
-        sig = signatures(x, at)
-        ids, comp, part = (group[c].to_numpy() for c in ("id", "component", "part"))
-        sets: dict[int, np.ndarray] = {}
+        sets = [np.unique(x[at[i] : at[i + 1]]) for i in range(len(group))]
+        order = np.argsort([len(s) for s in sets], kind="stable")
+        sets = [sets[i] for i in order]
+        size = np.array([len(s) for s in sets])
+        sig = signatures(np.concatenate(sets), np.concatenate([[0], np.cumsum(size)]))
+        ids, comp, part, p, q, bucket = (group[c].to_numpy()[order] for c in ("id", "component", "part", "p", "q", "bucket"))
         up: dict[int, int] = {}
 
         def top(c: int) -> int:
@@ -211,21 +239,13 @@ def _cross_links(involved: DataFrame, texts: DataFrame, n: int, percent: int, st
                 c = up[c]
             return c
 
-        def own(i: int) -> np.ndarray:
-            if i not in sets:
-                sets[i] = np.unique(x[at[i] : at[i + 1]])
-            return sets[i]
-
         out = []
-        for i, other in _cross_pairs(sig, ids, comp, part, group["p"].iat[0] == group["q"].iat[0], group["bucket"].iat[0], steps):
-            for j in other.tolist():
+        for left, right in _cross_pairs(sig, size, comp, part, np.zeros(len(ids), np.int64), p == q, bucket, steps, percent):
+            for i, j in zip(left.tolist(), right.tolist(), strict=True):
                 if top(comp[i]) == top(comp[j]):
                     continue
-                a, b = own(i), own(j)
-                if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                    continue
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * common >= percent * (len(a) + len(b) - common):
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= percent * (size[i] + size[j] - common):
                     up[top(comp[i])] = top(comp[j])
                     out.append((ids[i], ids[j]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -238,8 +258,9 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, miss
     steps = least_agreements(percent, miss)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sets = written(_sets(rows, shingle), "sets")
-    classes = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
-    reps = written(sets.join(classes, (sets["doc_id"] == classes["id"]) & (sets["k1"] == classes["k1"]) & (sets["k2"] == classes["k2"])).select("id", "sig").dropDuplicates(["id", "sig"]), "reps")
+    full = sets.filter("n_shingles > 0")
+    classes = written(full.filter("doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("id")), "classes")
+    reps = written(sets.join(classes, (sets["doc_id"] == classes["id"]) & (sets["k1"] == classes["k1"]) & (sets["k2"] == classes["k2"])).select("id", "n_shingles", "sig").dropDuplicates(["id", "sig"]), "reps")
     texts = rows.select(F.col("doc_id").alias("id"), "text").filter("text IS NOT NULL")
 
     every = _buckets(reps)
@@ -248,7 +269,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, miss
     # each document meets, of the least members of its buckets, the one that it shares most buckets with
     shared = buckets.filter("id <> least").groupBy("id", "least").agg(F.count("*").alias("n"))
     stars = shared.groupBy("id").agg(F.max_by("least", F.struct("n", -F.col("least"))).alias("a")).select("a", F.col("id").alias("b"))
-    links = written(_verified(written(_surviving(stars, reps, steps), "pairs"), texts, shingle, percent), "links")
+    links = _verified(written(_surviving(stars, reps, steps), "pairs"), texts, shingle, percent)
     # a doc_id with several texts has several classes: they are one document
     kind = F.struct("k1", "k2", "n_shingles")
     several = written(sets.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(kind).alias("lo"), F.max(kind).alias("hi")).filter("lo <> hi").select("doc_id"), "several")
@@ -257,12 +278,19 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, miss
     links = links.union(ids.join(one, "doc_id").filter("id <> one").select(F.col("one").alias("a"), F.col("id").alias("b")))
     labels = written(components(links), "labels")
 
-    involved = written(_involved(buckets.select("bucket", "id"), labels, reps, steps, block), "involved")
+    involved = written(_involved(buckets.select("bucket", "id"), labels, reps, steps, block, percent), "involved")
+    discard(buckets)
+    discard(reps)
     if involved.limit(1).count():
         more = written(_cross_links(involved, texts, shingle, percent, steps), "links")
         labels = written(components(links.union(more)), "labels")
 
-    own = sets.join(classes, ["k1", "k2"], "left").join(one, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce(F.when(F.col("n_shingles") > 0, F.col("id")), "one").alias("id"))
+    # a set that many rows have meets its class once for each part of the rows, and its rows meet that part by part
+    parts = max(1, full.count() // PART) * 32
+    dealt = full.select("doc_id", "n_shingles", "k1", "k2").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
+    known = dealt.select("k1", "k2", "part").distinct().join(classes, ["k1", "k2"])
+    own = dealt.join(known, ["k1", "k2", "part"], "left").select("doc_id", "n_shingles", "id")
+    own = own.union(sets.filter("n_shingles = 0").join(one, "doc_id", "left").select("doc_id", "n_shingles", F.col("one").alias("id")))
     found = own.join(labels, "id", "left").select("doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id"))
     return found.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
