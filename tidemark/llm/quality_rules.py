@@ -1,18 +1,20 @@
 """Line-first quality rules, as built-in expressions only.
 
-Each line with a word is held against rules of three kinds:
+Each line with a word is held against rules of four kinds:
 
 * navigation: three or more parts between ``|``, or one of the characters » and ›;
-* boilerplate: a phrase of BOILERPLATE;
-* punctuation: a share of symbols above MAX_SYMBOLS, three or more doubled exclamation marks, or ten or more
-  words without any sentence mark.
+* boilerplate, in lines of fewer than LONG words: whole words of NOTICES anywhere, or of ACTIONS at the line's beginning;
+* punctuation of lines of LONG words or more: no sentence mark, unless the next line goes on with a small letter (wrapped
+  prose);
+* symbols: a share above MAX_SYMBOLS, or three or more doubled exclamation marks.
 
 Failing lines go. A document is kept if it passes the base rules (at least MIN_WORDS words; at most MAX_REPEATED % of
 them in repeated 8-word windows) and loses at most MAX_LOST % of its word characters with the failing lines.
 
 Null and empty texts have no words: counts are 0, base_failed is true, kept is false, the cleaned text is ''. Rows
-are judged one by one, so repeated rows and ties each get their own equal verdict; other columns pass unchanged,
-but for columns of the result's own names, which are replaced.
+are judged one by one, so repeated rows and ties each get their own equal verdict. kept_documents() hands all other
+columns on as they are, whatever they are called; judged() replaces those of its own names. All work is linear in the
+text, long lines and words included.
 """
 
 from __future__ import annotations
@@ -24,24 +26,31 @@ SPACES = " \t\n\u000b\f\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED, MAX_LOST, WINDOW = 20, 30, 50, 8
 MAX_SYMBOLS = 10
-#: Fixed phrases of site furniture, lower-case.
-BOILERPLATE = [
-    "all rights reserved",
-    "cookie policy",
-    "privacy policy",
-    "terms of use",
-    "terms of service",
-    "enable javascript",
-    "javascript is disabled",
-    "click here",
-    "sign in",
-    "log in to",
-    "subscribe to our newsletter",
-    "share this",
-    "lorem ipsum",
-]
-BOILERPLATE_RX = "|".join(BOILERPLATE)
-MARKS_RX = r"[.!?:;…。]"
+LONG = 10
+#: Fixed notices of sites, lower-case, in English, German, French and Spanish; a blank stands for what isn't a letter or digit.
+NOTICES = [
+    "all rights reserved", "cookie policy", "privacy policy", "terms of use", "terms of service", "enable javascript", "javascript is disabled", "lorem ipsum",
+    "alle rechte vorbehalten", "cookie richtlinie", "datenschutzerklärung", "nutzungsbedingungen", "javascript aktivieren",
+    "tous droits réservés", "politique de confidentialité", "conditions d utilisation", "mentions légales",
+    "todos los derechos reservados", "política de privacidad", "política de cookies", "términos de uso", "aviso legal",
+]
+#: Fixed beginnings of lines that ask for a click.
+ACTIONS = [
+    "click here", "sign in", "log in", "share this", "subscribe to our newsletter",
+    "hier klicken", "jetzt anmelden", "newsletter abonnieren",
+    "cliquez ici", "se connecter", "abonnez vous",
+    "haga clic aquí", "iniciar sesión", "suscríbase",
+]
+MARKS = ".!?:;…。！？؟।"
+_WORD, _SPACE, _OTHER = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]", r"[^\p{L}\p{N}]"
+LONG_RX = rf"^{_SPACE}*+(?:{_WORD}++{_SPACE}++){{{LONG - 1}}}{_WORD}"  # possessive: one pass, however long the words are
+
+
+def _any_of(phrases: list[str]) -> str:
+    return "(?:" + "|".join(p.replace(" ", f"{_OTHER}+") for p in phrases) + f")(?:{_OTHER}|$)"
+
+
+NOTICES_RX, ACTIONS_RX = rf"(?:^|{_OTHER}){_any_of(NOTICES)}", rf"^{_OTHER}*+{_any_of(ACTIONS)}"
 
 
 def _text(text: Column) -> Column:
@@ -57,16 +66,17 @@ def without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
-def line_fails(line: Column) -> Column:
-    solid = without(line, SPACES)
+def line_fails(line: Column, following: Column) -> Column:
+    """Whether a line fails, given the next one (null: none)."""
+    solid, low = without(line, SPACES), F.lower(line)
     n = F.length(solid)
+    unfinished = ~line.rlike(f"[{MARKS}]") & ~F.coalesce(following.rlike(rf"^{_SPACE}*\p{{Ll}}"), F.lit(False))
     return (
         (F.length(line) - F.length(without(line, "|")) >= 2)
         | line.rlike("[»›]")
-        | F.lower(line).rlike(BOILERPLATE_RX)
         | ((n - F.length(without(solid, SYMBOLS))) * 100 > n * MAX_SYMBOLS)
         | ((F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("")))) >= 6)
-        | (~line.rlike(MARKS_RX) & line.rlike(r"[^\x20\x09-\x0D]+(?:[\x20\x09-\x0D]+[^\x20\x09-\x0D]+){9}"))
+        | F.when(line.rlike(LONG_RX), unfinished).otherwise(low.rlike(NOTICES_RX) | low.rlike(ACTIONS_RX))
     )
 
 
@@ -90,6 +100,11 @@ def _repeated(hashes: Column) -> Column:
     return covered[0]
 
 
+def _windows(hashes: Column) -> Column:
+    """A hash of each WINDOW hashes of words in a row; every word is hashed once."""
+    return F.transform(F.array(hashes), lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(h, i, WINDOW))))[0]
+
+
 def _once(value: Column) -> Column:
     """value, as a column that no filter above is rewritten through: else it would be worked out again for every word of a text."""
     return F.when(F.monotonically_increasing_id() >= 0, value)
@@ -104,8 +119,8 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
         {
             "n_words": F.size("_words").cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_good": _once(F.filter("_lines", lambda x: ~line_fails(x))),
-            "_hashes": _once(F.when(F.size("_words") >= WINDOW, F.transform(F.sequence(F.lit(1), F.size("_words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, WINDOW))))),
+            "_good": _once(F.filter("_lines", lambda x, i: ~line_fails(x, F.get("_lines", i + 1)))),
+            "_hashes": _once(F.when(F.size("_words") >= WINDOW, _windows(F.transform("_words", lambda w: F.xxhash64(w))))),
         }
     )
     three = two.withColumns(
@@ -119,33 +134,41 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     return four.withColumn("kept", _once(~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * MAX_LOST))).drop(*made)
 
 
-def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, without their failing lines; columns as in docs."""
-    out = judged(docs).filter("kept").withColumn("text", F.col("clean_text"))
+def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The documents that are kept, without their failing lines; columns as in docs (n_chars, where there is one, is the length of what is left)."""
+    out = judged(docs.select(F.struct("*").alias("_row"), F.col(text).alias("text"))).filter("kept")
+    left = {text: F.col("clean_text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+        left["n_chars"] = F.length("clean_text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[left.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:
     return judged(docs.select("doc_id", "text")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_bad_lines", "lost_chars")
 
 
-_MARKS_SQL = "[.!?:;…。]"
+def _listed(phrases: list[str]) -> str:
+    return ", ".join(f"' {p} '" for p in phrases)
+
+
 ORACLE = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
-g AS (
-  SELECT *, list_filter(lines, lambda l: NOT (
-      length(l) - length(replace(l, '|', '')) >= 2
-      OR regexp_matches(l, '[\x{{00bb}}\x{{203a}}]')
-      OR regexp_matches(lower(l), '{BOILERPLATE_RX}')
-      OR length(regexp_replace(l, '[^#*$%&|<>]', '', 'g')) * 100 > length(regexp_replace(l, '[\x20\x09-\x0D]', '', 'g')) * {MAX_SYMBOLS}
-      OR length(l) - length(replace(l, '!!', '')) >= 6
-      OR (NOT regexp_matches(l, '{_MARKS_SQL}') AND len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) >= 10))) AS good
+o AS (
+  SELECT doc_id, unnest(lines) AS l, unnest(range(1, len(lines) + 1)) AS i, unnest(list_append(lines[2:], NULL)) AS following
   FROM d),
+q AS (
+  SELECT doc_id, i, l, following, ' ' || trim(regexp_replace(lower(l), '[^\pL\pN]+', ' ', 'g')) || ' ' AS plain, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
+    length(regexp_replace(l, '[^#*$%&|<>]', '', 'g')) AS symbols, length(regexp_replace(l, '[\x20\x09-\x0D]', '', 'g')) AS chars FROM o),
+k AS (
+  SELECT doc_id, list(l ORDER BY i) AS good FROM q
+  WHERE NOT (len(string_split(l, '|')) >= 3 OR contains(l, '»') OR contains(l, '›') OR symbols * 100 > chars * {MAX_SYMBOLS} OR length(l) - length(replace(l, '!!', '')) >= 6
+    OR (n >= {LONG} AND NOT regexp_matches(l, '[{MARKS}]') AND NOT coalesce(regexp_matches(following, '^[\x20\x09-\x0D]*\p{{Ll}}'), false))
+    OR (n < {LONG} AND (len(list_filter([{_listed(NOTICES)}], lambda p: contains(plain, p))) > 0 OR len(list_filter([{_listed(ACTIONS)}], lambda p: starts_with(plain, p))) > 0)))
+  GROUP BY doc_id),
+g AS (SELECT d.*, coalesce(good, []) AS good FROM d LEFT JOIN k USING (doc_id)),
 win AS (
   SELECT doc_id, i, array_to_string(w[i:i+{WINDOW - 1}], ' ') AS s
   FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - {WINDOW - 1})) AS i FROM d)),
