@@ -1,10 +1,12 @@
 """Document quality from a linear-chain conditional random field over lines.
 
 Each line with a word is a position of the chain, labelled good or bad. A position sees features of its own line and
-of its neighbours. The field is fitted by gradient ascent on the likelihood of labelled documents (a document's label
-holds for all its lines); forward-backward marginals, weighted by the lines' lengths, give the document's score.
+of its neighbours. The field is fitted by gradient ascent on the likelihood of labelled documents, whose labels hold for
+their lines; half of them are glued into chains of GLUED documents, so that good lines are seen beside bad ones and a
+document can be good in parts. Forward-backward marginals, weighted by the lines' lengths, give the document's score.
 
-Fitting takes at most about `sample` labelled rows, chosen by a hash of doc_id; it and scoring read whole texts. Only the text is an input of a score. A text without words (null and empty ones
+Fitting takes at most about `sample` labelled rows, chosen by a hash of doc_id; it and scoring read whole texts, of any
+length (a text's lines are held at once). Only the text is an input of a score. A text without words (null and empty ones
 too) has score 0. Rows are scored one by one. Labels that are null don't count; with two labels for a doc_id the
 higher one holds. Without any labels all texts with words have score 0.5.
 """
@@ -16,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import NOT_WHITE, U, Words, byte_set, mixed, small_batches, utf8
+from ._text import NOT_WHITE, U, Words, byte_set, mixed, small_batches, spread, utf8
 
-SAMPLE, HELD_OUT, THRESHOLD = 6000, 2, 0.7
+SAMPLE, HELD_OUT, THRESHOLD, GLUED = 6000, 2, 0.7, 4
 _UPPER = byte_set(bytes(range(0x41, 0x5B)))
 _DIGIT = byte_set(b"0123456789")
 _SYMBOL = byte_set(b"#*$%&|<>{}[]\\^~_=+@/")
@@ -87,6 +89,24 @@ def lines_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.column_stack([own, before, after, is_first, is_last]), size.astype(float), first
 
 
+def glued(x: np.ndarray, first: np.ndarray, labels: np.ndarray, most: int = GLUED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, label of each line, and bounds of chains made of the documents in a random order: the first half stand alone, the others are put together by `most`. Where two meet, their lines are neighbours."""
+    n = np.diff(first)
+    some = np.flatnonzero(n)
+    order = np.random.default_rng(0).permutation(some)
+    n = n[order]
+    x, y = x[spread(first[:-1][order], n)], np.repeat(labels[order], n)
+    begin = np.cumsum(n) - n
+    at = np.arange(len(order))
+    inner = (at >= len(order) // 2) & ((at - len(order) // 2) % most != 0)
+    b = begin[inner]
+    own = [FEATURES.index(f) for f in SEEN]
+    x[np.ix_(b, [FEATURES.index(f"before_{f}") for f in SEEN])] = x[np.ix_(b - 1, own)]
+    x[np.ix_(b - 1, [FEATURES.index(f"after_{f}") for f in SEEN])] = x[np.ix_(b, own)]
+    x[b, FEATURES.index("is_first")] = x[b - 1, FEATURES.index("is_last")] = 0
+    return x, y, np.append(begin[~inner], len(x))
+
+
 class Field:
     """Two states, bad and good: weights of the good state's features, transition scores, scores of the first state."""
 
@@ -121,17 +141,19 @@ class Field:
         return gamma, pairs, log_z
 
     def fit(self, x: np.ndarray, first: np.ndarray, labels: np.ndarray, rounds: int = 150, rate: float = 0.1, penalty: float = 1e-3) -> Field:
-        y = np.repeat(labels, np.diff(first)).astype(float)
-        some = np.diff(first) > 0
-        heads = labels[some]
-        inner = (np.diff(first) - 1)[some]
-        seen = np.diag([float(inner[heads == 0].sum()), float(inner[heads == 1].sum())])
+        """labels: of the documents, whose lines run from first[i] to first[i + 1]."""
+        x, states, first = glued(x, first, labels)
+        y, heads = states.astype(float), states[first[:-1]]
+        follows = np.ones(len(y), bool)
+        follows[first[:-1]] = False
+        step = states[:-1][follows[1:]] * 2 + states[1:][follows[1:]]
+        seen = np.bincount(step, minlength=4).reshape(2, 2).astype(float)
         began = np.array([(heads == 0).sum(), (heads == 1).sum()], float)
         theta = np.zeros(len(self.w) + 6)
         m, v = np.zeros_like(theta), np.zeros_like(theta)
         for k in range(1, rounds + 1):
             gamma, pairs, _ = self.marginals(x, first)
-            g = np.concatenate([x.T @ (y - gamma[:, 1]), (seen - pairs).ravel(), began - gamma[first[:-1][some]].sum(0)]) / max(1, len(x)) - penalty * theta
+            g = np.concatenate([x.T @ (y - gamma[:, 1]), (seen - pairs).ravel(), began - gamma[first[:-1]].sum(0)]) / max(1, len(x)) - penalty * theta
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             theta = theta + rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
             self.w, self.trans, self.start = theta[: len(self.w)], theta[len(self.w) : -2].reshape(2, 2), theta[-2:]
