@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, licenses, line_crf, near_dedup, packing, quality_rules, secrets, substring_dedup, suffix_dedup, warc
+from . import decontamination, licenses, line_crf, near_dedup, oracles, packing, quality_rules, secrets, substring_dedup, suffix_dedup, warc
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,4 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": lambda s, d: secrets.digest(_docs(s, d)),
     "op10_suffix_dedup": lambda s, d: suffix_dedup.digest(_docs(s, d)),
 }
-ORACLES = {"op2_quality_rules": quality_rules.ORACLE, "op9_secrets": secrets.ORACLE}
+ORACLES = {
+    "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op2_quality_rules": quality_rules.ORACLE,
+    "op4_decontamination": oracles.DECONTAMINATION,
+    "op5_near_dedup": oracles.NEAR_DEDUP,
+    "op8_licenses": oracles.LICENSES,
+    "op9_secrets": secrets.ORACLE,
+    "op10_suffix_dedup": oracles.SUFFIX_DEDUP,
+}
