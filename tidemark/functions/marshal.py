@@ -48,7 +48,7 @@ def html_escaped(json: Column) -> Column:
 
 
 def marshalled(wal: DataFrame, old_values: bool = True, html_escape: bool = False) -> DataFrame:
-    """Adds json to a parsed and stamped stream: null for BEGIN and COMMIT. Rows whose JSON can't be made have null too, and failed true."""
+    """Adds json to a parsed and stamped stream: null for BEGIN and COMMIT. Rows without columns (not even an empty map) can't be written as JSON: theirs is null too, and failed is true."""
     pairs = column_pairs(F.col("operation"), F.col("columns"), F.col("old_columns"), old_values).cast(PAIRS)
     entry = F.struct(
         time_text(F.col("server_time_ms")).alias("time"),
@@ -62,4 +62,4 @@ def marshalled(wal: DataFrame, old_values: bool = True, html_escape: bool = Fals
     json = F.to_json(entry)
     json = html_escaped(json) if html_escape else json
     boundary = F.col("operation").isin("BEGIN", "COMMIT")
-    return wal.withColumn("json", F.when(~boundary, json)).withColumn("failed", ~boundary & F.col("json").isNull())
+    return wal.withColumn("json", F.when(~boundary & F.col("columns").isNotNull(), json)).withColumn("failed", ~boundary & F.col("json").isNull())

@@ -10,13 +10,23 @@ from .ordered import running
 BOUNDARIES = ("BEGIN", "COMMIT")
 
 
-def stamped(wal: DataFrame, width: int = 100_000) -> DataFrame:
-    """Every row gets the transaction and the time-based key (xid-<sequence of its BEGIN>, so that a redelivered transaction has another) of the last BEGIN before it."""
+def stamped(wal: DataFrame, width: int = 100_000, before: DataFrame | None = None) -> DataFrame:
+    """Every row gets the transaction and the time-based key (xid-<sequence of its BEGIN>, so that a redelivered transaction has another) of the last BEGIN before it. Rows before the first BEGIN get what was open on their slot before (slot, xid, key), where that is given."""
     begin = F.when(F.col("operation") == "BEGIN", F.struct(F.col("transaction").alias("xid"), F.concat_ws("-", "transaction", "ingest_seq").alias("key")))
     out = running(wal, "_begin", begin, "last", ["slot"], "ingest_seq", width=width)
+    if before is not None:
+        known = before.select(F.col("slot").alias("_slot"), F.struct("xid", "key").alias("_before"))
+        out = out.join(known, F.col("slot").eqNullSafe(F.col("_slot")), "left").withColumn("_begin", F.coalesce("_begin", "_before")).drop("_slot", "_before")
     return out.withColumns({"transaction": F.coalesce("transaction", F.col("_begin")["xid"]), "time_based_key": F.col("_begin")["key"]}).drop("_begin")
 
 
+def left_open(stamped_wal: DataFrame, before: DataFrame) -> DataFrame:
+    """slot, xid, key of the last BEGIN of each slot, those of before (the same columns) included: what the rows after these are stamped with."""
+    own = stamped_wal.filter("operation = 'BEGIN'").groupBy("slot").agg(F.max_by(F.struct("transaction", "time_based_key"), "ingest_seq").alias("b"))
+    now = own.select("slot", F.col("b")["transaction"].alias("xid"), F.col("b")["time_based_key"].alias("key"))
+    return now.unionByName(before.join(now.select("slot"), "slot", "left_anti"))
+
+
 def duplicate_commits(wal: DataFrame, width: int = 100_000) -> DataFrame:
     """is_dup: a COMMIT at or below the highest earlier COMMIT. Rows stay."""
     commit = F.when(F.col("operation") == "COMMIT", F.col("wal_start"))

@@ -76,6 +76,20 @@ def wal_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _framed(changes, F.col("xid"), 3)
 
 
+def wal_bare_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates of orders without a frame: of even keys nothing is told, of odd ones the key."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    told = F.when(F.col("o_orderkey") % 2 == 0, F.lit("(no-tuple-data)")).otherwise(F.concat(F.lit("o_orderkey[bigint]:"), F.col("o_orderkey").cast("string")))
+    return _raw(o.select((F.col("o_orderkey") * 3 + 1).alias("ingest_seq"), epoch_ms(F.col("o_orderdate")).alias("server_time_ms"), F.concat(F.lit("table public.orders: UPDATE: "), told).alias("wal_data")))
+
+
+def wal_quoted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserts into tables, with columns and types, whose quoted names hold colons, brackets, blanks and quotes."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    text = F.concat(F.lit('table public."t: '), F.col("c_mktsegment"), F.lit('""s": INSERT: "a b['), F.col("c_nationkey").cast("string"), F.lit(']"["ty""pe"]:'), _quoted(F.col("c_name")))
+    return _raw(c.select(F.col("c_custkey").cast("long").alias("ingest_seq"), F.lit(0).cast("long").alias("server_time_ms"), text.alias("wal_data")))
+
+
 def redelivered(wal: DataFrame, last_xid: int, shift: int) -> DataFrame:
     """wal, and transactions up to last_xid once more, later, at their old positions. The sequence is that of wal_events."""
     again = wal.filter(F.col("ingest_seq") < (last_xid + 1) * 10).withColumn("ingest_seq", F.col("ingest_seq") + shift)
