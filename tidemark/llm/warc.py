@@ -38,7 +38,7 @@ _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name s
 #: What can stand in a head, besides what is hidden with its content.
 _IN_HEAD = re.compile(r"\s+|</?(?:meta|link|base)\b[^>]*(?:>|\Z)|<(?:(title|script|style|noscript|template)\b|!--)", re.I)
 _HEAD = re.compile(r"<head\b[^>]*(?:>|\Z)", re.I)
-_HIDDEN = re.compile(r"<(?:(script|style|noscript|template|head)\b|!--)", re.I)
+_HIDDEN = re.compile(r"<(?:(script|style|noscript|template|title|head)\b|!--)", re.I)
 _CLOSE = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "noscript", "template", "title", "head")} | {"": re.compile("-->")}
 _BREAK = re.compile(r"</?(?:p|br|div|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|main|aside|blockquote|pre|td|th|dd|dt)\b[^>]*(?:>|\Z)", re.I)
 _TAG = re.compile(r"</?[a-zA-Z!?][^>]*(?:>|\Z)")
@@ -58,7 +58,7 @@ def record_id(*parts) -> str:
 
 
 def visible(page: str) -> str:
-    """The page with a blank for each script, style, comment, head and the like. One without an end goes to the end of the page; a head without one ends before what can't be in it: body, another element, or text."""
+    """The page with a blank for each script, style, title, comment, head and the like. One without an end goes to the end of the page; a head without one ends before what can't be in it: body, another element, or text."""
     endless: set[str] = set()
 
     def end_of(kind: str, at: int) -> int:
@@ -101,7 +101,7 @@ def links_of(page: str, base: str) -> list[str]:
         m = _HREF.search(tag[0])
         if m is None:
             continue
-        href = entities.unescape(next(x for x in m.groups("") if x or x == m.groups("")[-1]))
+        href = entities.unescape(next(x for x in m.groups() if x is not None))
         try:
             out.append(urljoin(base, href))
         except ValueError:
