@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import threading
-import uuid
 from collections import Counter
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..store import dropped, landed
+
 #: Shuffle files of a write are not needed once its table stands; batches of whole texts for Python are kept small.
 WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
 
@@ -17,19 +17,6 @@ WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "tru
 _lock, _writers, _before = threading.Lock(), Counter(), {}
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir as the cluster names it. Where it is unset, a local master (tests) gets a temporary folder; on a cluster that would be a folder of one machine, so there it is an error."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    if not hasattr(spark, "_tidemark_dir"):
-        spark._tidemark_dir = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    return spark._tidemark_dir
-
-
 @contextmanager
 def _writing(spark: SparkSession):
     """The session's settings while any table is written; the last writer puts back what the first one found."""
@@ -49,26 +36,11 @@ def _writing(spark: SparkSession):
                     spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def _path(spark: SparkSession, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: lineage ends there, so that a lost executor
     costs a read and not the jobs before. The files go when the application ends, or with discard()."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    with _writing(spark):
-        df.write.option("compression", "zstd").parquet(path)
-    where, fs = _path(spark, path)
-    fs.deleteOnExit(where)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tidemark_path = path
-    return out
+    with _writing(df.sparkSession):
+        return landed(df, name, "zstd")
 
 
-def discard(df: DataFrame) -> None:
-    """Deletes a table, as written() gave it, that no later plan reads."""
-    where, fs = _path(df.sparkSession, df._tidemark_path)
-    fs.delete(where, True)
+discard = dropped

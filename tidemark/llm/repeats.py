@@ -9,10 +9,12 @@ units that they cover are the run's segment: a window is in exactly one segment.
    (with the number of places and the first of them) from here on, so that a passage that a third of all texts hold
    is one row from each task.
 3. Segments of frequent anchors can still be many, each with its own surroundings. Their windows are counted by hash,
-   one by one; runs of windows that are there twice or more go on as segments, and equal ones are one again.
+   once for each part of the segments; runs of windows that are there twice or more go on as segments, and equal ones are
+   one again.
 4. Segments are dealt to shards by anchor; a shard is indexed as a whole (FM-index or suffix array) and tells which
    windows of which segments are repeated.
-5. What it says is carried to all places of the segments, and texts drop what their windows cover.
+5. What it says is carried to all places of the segments (through parts of them where they can be many), and texts drop
+   what their windows cover.
 
 Rows are known by doc_id (null: the least) and a hash of their text, so rows that repeat both are one document that
 stands at several places.
@@ -26,11 +28,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._store import written
-from ._text import U, Words, mixed, ngrams, sliding_min, small_batches, utf8
+from ._store import discard, written
+from ._text import U, Words, mixed, ngrams, sliding_min, small_batches, spread, utf8
 
 FREQUENT = 64
 _BYTE = mixed(np.arange(1, 257, dtype=U))
@@ -101,35 +103,32 @@ def _signed(h: np.ndarray) -> pa.Array:
 
 
 def _repeated_anchors(rows: DataFrame, units: Units, batch_bytes: int) -> DataFrame:
-    """did, th, anchors (lowest bit: is it frequent) of every text with repeated anchors."""
-
-    def every(batches):
-        for batch in small_batches(batches, batch_bytes):
-            u, first, _ = units.of(utf8(batch.column(0)))
-            yield pa.RecordBatch.from_arrays([_signed(units.places(u, first)[0])], ["anchor"])
+    """did, th, anchors (lowest bit: is it frequent) of every text with repeated anchors. Texts are read once; their anchors are written, and counted and looked up from there."""
 
     def of_texts(batches):
         for batch in small_batches(batches, batch_bytes):
             u, first, _ = units.of(utf8(batch.column(2)))
             g, d = units.places(u, first)
-            order = np.lexsort((g, d))
-            g, d = g[order], d[order]
-            new = np.ones(len(g), bool)
-            new[1:] = (g[1:] != g[:-1]) | (d[1:] != d[:-1])
-            take = pa.array(d[new])
-            yield pa.RecordBatch.from_arrays([_signed(g[new]), batch.column(0).take(take), batch.column(1).take(take)], ["anchor", "did", "th"])
+            ends = np.concatenate([[0], np.cumsum(np.bincount(d, minlength=batch.num_rows))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(g))], ["did", "th", "places"])
 
-    many = rows.select("text").mapInArrow(every, "anchor long").groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    many = written(many.select("anchor", F.when(F.col("n") > FREQUENT, 1).otherwise(0).cast("long").alias("hot")), "anchors")
-    own = rows.select("did", "th", "text").mapInArrow(of_texts, "anchor long, did long, th long")
-    return own.join(many, "anchor").groupBy("did", "th").agg(F.collect_set(F.col("anchor").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("hot"))).alias("anchors"))
+    own = written(rows.select("did", "th", "text").mapInArrow(of_texts, "did long, th long, places array<long>"), "anchors")
+    each = own.select("did", "th", F.explode("places").alias("anchor"))
+    many = each.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+    many = written(many.select("anchor", F.when(F.col("n") > FREQUENT, 1).otherwise(0).cast("long").alias("hot")), "repeated")
+    chosen = written(each.join(many.hint("shuffle_hash"), "anchor").groupBy("did", "th").agg(F.collect_set(F.col("anchor").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("hot"))).alias("anchors")), "chosen")
+    discard(own)
+    discard(many)
+    return chosen
 
 
-_PLACES = "anchor long, hot boolean, sh long, did long, th long, start long, n_windows long, text binary"
+_PLACES = "anchor long, hot boolean, sh long, chk long, did long, th long, start long, n_windows long, text binary"
+_NAMES = [c.split()[0] for c in _PLACES.split(", ")]
+_SCHEMA = pa.schema([(n, {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}[c.split()[1]]) for n, c in zip(_NAMES, _PLACES.split(", "), strict=True)])
 
 
 def _segments(rows: DataFrame, chosen: DataFrame, units: Units, batch_bytes: int) -> DataFrame:
-    """_PLACES: a row for each run with a repeated anchor. sh is a hash of the segment's units."""
+    """_PLACES: a row for each run with a repeated anchor. sh and chk are a hash of the segment's units."""
 
     def cut(batches):
         for batch in small_batches(batches, batch_bytes):
@@ -159,56 +158,86 @@ def _segments(rows: DataFrame, chosen: DataFrame, units: Units, batch_bytes: int
             ends = hi + units.window
             base = first[doc]
             raw = u.tobytes() if units.words else None
-            texts, sh = [], np.empty(len(keep), U)
-            for i, (d, a, b, f) in enumerate(zip(doc.tolist(), lo.tolist(), ends.tolist(), base.tolist(), strict=True)):
+            texts, hashes = [], []
+            for d, a, b, f in zip(doc.tolist(), lo.tolist(), ends.tolist(), base.tolist(), strict=True):
                 t = part(d, a, b)
                 texts.append(t)
-                sh[i] = _hash(raw, 8 * (f + a), 8 * (f + b)) if raw is not None else _hash(t, 0, len(t))
+                hashes.append(_hash(t if raw is None else raw[8 * (f + a) : 8 * (f + b)]))
             take = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor), pa.array(hot), _signed(sh), batch.column(0).take(take), batch.column(1).take(take), pa.array(lo), pa.array(hi - lo + 1), pa.array(texts, pa.binary())], [c.split()[0] for c in _PLACES.split(", ")]
+                [pa.array(anchor), pa.array(hot), *_halves(hashes), batch.column(0).take(take), batch.column(1).take(take), pa.array(lo), pa.array(hi - lo + 1), pa.array(texts, pa.binary())], _NAMES
             )
 
-    return rows.join(chosen, ["did", "th"]).select("did", "th", "text", "anchors").mapInArrow(cut, _PLACES)
+    return rows.join(chosen.hint("shuffle_hash"), ["did", "th"]).select("did", "th", "text", "anchors").mapInArrow(cut, _PLACES)
 
 
-def _hash(part: bytes, a: int, b: int) -> int:
-    return xxhash.xxh3_64_intdigest(part[a:b])
+def _hash(part: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(part)
 
 
-def _thinned(single: DataFrame, frequent: DataFrame, units: Units, batch_bytes: int) -> DataFrame:
-    """Of segments at one place, the runs of windows whose hash is there twice or more among all segments of frequent anchors, as segments of their own (_PLACES). What surrounds a frequent passage falls away, and what is left of it is equal again."""
+def _halves(hashes: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    both = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+    return pa.array(both[:, 0]), pa.array(both[:, 1])
 
-    def every(batches):
-        for batch in small_batches(batches, batch_bytes):
-            u, first, _ = units.of(batch.column(3).to_pylist())
-            n = np.diff(first) - units.window + 1
-            at = np.repeat(first[:-1] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-            row = pa.array(np.repeat(np.arange(len(n)), n))
-            yield pa.RecordBatch.from_arrays([_signed(ngrams(u, units.window)[at]), *(batch.column(i).take(row) for i in (0, 1, 2)), pa.array(at - np.repeat(first[:-1], n))], ["wh", "anchor", "sh", "n", "i"])
 
-    def cut(batches):
+def _thinned(single: DataFrame, frequent: DataFrame, units: Units, batch_bytes: int, parts: int) -> DataFrame:
+    """Of segments at one place, the runs of windows whose hash is there twice or more among all segments of frequent anchors, as segments of their own (_PLACES). What surrounds a frequent passage falls away, and what is left of it is equal again.
+
+    Segments are dealt to parts by their hash. A window that very many segments hold is one row for each part, whether it
+    is counted or looked up; each part then gets the hashes that are there twice."""
+    part = F.pmod(F.xxhash64("anchor", "sh"), F.lit(parts)).alias("part")
+
+    def windows(texts: list[bytes]):
+        u, first, text = units.of(texts)
+        n = np.diff(first) - units.window + 1
+        return u, first, text, n, ngrams(u, units.window)[spread(first[:-1], n)]
+
+    def every(batches):
         for batch in small_batches(batches, batch_bytes):
-            u, first, part = units.of(batch.column(5).to_pylist())
-            raw, wide = (u.tobytes(), 8) if units.words else (b"".join(batch.column(5).to_pylist()), 1)
-            row, lo, n, sh, texts = [], [], [], [], []
-            for r, w in enumerate(batch.column(6).to_pylist()):
-                w = np.unique(w)
-                for run in np.split(w, np.flatnonzero(np.diff(w) > 1) + 1):
-                    a, b = int(run[0]), int(run[-1]) + units.window
-                    row.append(r), lo.append(a), n.append(len(run)), texts.append(part(r, a, b))
-                    sh.append(_hash(raw, wide * (int(first[r]) + a), wide * (int(first[r]) + b)))
+            *_, n, wh = windows(batch.column(2).to_pylist())
+            own = np.repeat(batch.column(0).to_numpy(), n)
+            order = np.lexsort((wh, own))
+            head = np.flatnonzero(np.append(True, (np.diff(own[order]) != 0) | (wh[order][1:] != wh[order][:-1]))) if len(wh) else order
+            many = np.add.reduceat(np.repeat(batch.column(1).to_numpy(), n)[order], head) if len(wh) else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([_signed(wh[order][head]), pa.array(own[order][head]), pa.array(many)], ["wh", "part", "n"])
+
+    def cut(segments: pa.Table, hashes: pa.Table) -> pa.Table:
+        out = []
+        known = np.sort(hashes.column("wh").to_numpy().view(U))
+        for batch in small_batches(segments.to_batches(), batch_bytes):
+            texts = batch.column("text").to_pylist()
+            u, first, text, n, wh = windows(texts)
+            at = np.minimum(np.searchsorted(known, wh), max(0, len(known) - 1))
+            found = known[at] == wh if len(known) else np.zeros(len(wh), bool)
+            raw, wide = (u.tobytes(), 8) if units.words else (b"".join(texts), 1)
+            row, lo, size, parts_, hs = [], [], [], [], []
+            for r, a, b in ranges(found, np.concatenate([[0], np.cumsum(n)])):
+                e = b + units.window
+                row.append(r), lo.append(a), size.append(b - a + 1)
+                f = int(first[r])
+                parts_.append(text(r, a, e))
+                hs.append(_hash(raw[wide * (f + a) : wide * (f + e)]))
             take = pa.array(row, pa.int64())
-            start = batch.column(4).to_numpy()[np.array(row, np.int64)] + np.array(lo, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), pa.array(np.ones(len(row), bool)), _signed(np.array(sh, U)), batch.column(2).take(take), batch.column(3).take(take), pa.array(start), pa.array(n, pa.int64()), pa.array(texts, pa.binary())],
-                [c.split()[0] for c in _PLACES.split(", ")],
-            )
+            start = batch.column("start").to_numpy()[np.array(row, np.int64)] + np.array(lo, np.int64)
+            ids = [batch.column(c).take(take) for c in ("anchor", "did", "th")]
+            out.append(pa.RecordBatch.from_arrays([ids[0], pa.array(np.ones(len(row), bool)), *_halves(hs), *ids[1:], pa.array(start), pa.array(size, pa.int64()), pa.array(parts_, pa.binary())], _NAMES))
+        return pa.Table.from_batches(out, _SCHEMA)
+
+    # one shuffle by hash serves both sums; what a batch has several times is one row already
+    every_ = frequent.select(part, "n", "text").mapInArrow(every, "wh long, part long, n long").repartition("wh")
+    each = every_.groupBy("wh", "part").agg(F.sum("n").alias("n")).withColumn("m", F.sum("n").over(Window.partitionBy("wh")))
+    hashes = each.filter("m > 1").select("part", "wh")
+    own = single.select(part, "anchor", "sh", "did", "th", "start", "text")
+    return own.groupBy("part").cogroup(hashes.groupBy("part")).applyInArrow(cut, _PLACES)
+
 
-    windows = frequent.select("anchor", "sh", "n", "text").mapInArrow(every, "wh long, anchor long, sh long, n long, i long")
-    twice = windows.groupBy("wh").agg(F.sum("n").alias("m")).filter("m > 1").select("wh")
-    left = windows.filter("n = 1").join(twice, "wh").groupBy("anchor", "sh").agg(F.collect_list("i").alias("windows"))
-    return single.join(left, ["anchor", "sh"]).select("anchor", "sh", "did", "th", "start", "text", "windows").mapInArrow(cut, _PLACES)
+def carried(places: DataFrame, known: DataFrame) -> DataFrame:
+    """places with what is known of their segments (anchor, sh and more; few rows a segment). Segments of frequent anchors can have very many places: these are dealt to parts, what is known goes once to each part that needs it, and they meet there."""
+    hot = places.filter("hot")
+    parts = max(1, hot.count() >> 16) * 32
+    hot = hot.withColumn("part", F.pmod(F.xxhash64("did", "th", "start"), F.lit(parts)))
+    needed = hot.select("anchor", "sh", "part").distinct().join(known.hint("shuffle_hash"), ["anchor", "sh"])
+    return places.filter("NOT hot").join(known.hint("shuffle_hash"), ["anchor", "sh"]).unionByName(hot.join(needed.hint("shuffle_hash"), ["anchor", "sh", "part"]).drop("part"))
 
 
 @dataclass
@@ -242,23 +271,28 @@ _FOUND = "anchor long, sh long, n long, did long, th long, start long, lo long,
 
 def repeated(rows: DataFrame, units: Units, search: Callable[[Shard, pa.Table], np.ndarray], batch_bytes: int = 1 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Places (all of _PLACES but text), distinct segments (anchor, sh, n, did, th, start), and _FOUND: window ranges of distinct segments for which search() flags the units that they start at."""
-    chosen = written(_repeated_anchors(rows, units, batch_bytes), "chosen")
+    chosen = _repeated_anchors(rows, units, batch_bytes)
     cut = _segments(rows, chosen, units, batch_bytes)
     # one pass over the texts: places and texts of segments are written together, the text once per task and segment
     places = written(cut, "places")
+    discard(chosen)
 
     def classes(segments: DataFrame) -> DataFrame:
-        kept = segments.groupBy("anchor", "sh").agg(F.sum("n").alias("n"), F.min("at").alias("at"), F.max("hot").alias("hot"), F.first("text").alias("text"))
-        return kept.select("anchor", "sh", "n", "at.*", "hot", "text")
+        # a hash of 64 bits groups them; that no other text has it is checked by 64 more
+        one = F.when(F.min("chk") == F.max("chk"), F.min("chk")).otherwise(F.raise_error(F.lit("two segments share a hash")).cast("long"))
+        kept = segments.groupBy("anchor", "sh").agg(one.alias("chk"), F.sum("n").alias("n"), F.min("at").alias("at"), F.max("hot").alias("hot"), F.first("text").alias("text"))
+        return kept.select("anchor", "sh", "chk", "n", "at.*", "hot", "text")
 
     at = F.struct("did", "th", "start").alias("at")
-    distinct = written(classes(places.select("anchor", "sh", F.lit(1).cast("long").alias("n"), at, "hot", "text")), "distinct")
+    distinct = written(classes(places.select("anchor", "sh", "chk", F.lit(1).cast("long").alias("n"), at, "hot", "text")), "distinct")
     single = F.col("hot") & (F.col("n") == 1)
-    if distinct.filter(single).limit(1).count():
-        cut_again = written(_thinned(distinct.filter(single), distinct.filter("hot"), units, batch_bytes), "thinned")
+    frequent = distinct.filter("hot").agg(F.sum(F.octet_length("text"))).first()[0]
+    if frequent:
+        cut_again = written(_thinned(distinct.filter(single), distinct.filter("hot"), units, batch_bytes, 32 * max(1, frequent // (32 * units.shard))), "thinned")
         places = places.unionByName(cut_again)
-        again = cut_again.select("anchor", "sh", F.lit(1).cast("long").alias("n"), at, "hot", "text")
-        distinct = written(classes(distinct.filter(~single).select("anchor", "sh", "n", at, "hot", "text").unionByName(again)), "distinct")
+        again = cut_again.select("anchor", "sh", "chk", F.lit(1).cast("long").alias("n"), at, "hot", "text")
+        first, distinct = distinct, written(classes(distinct.filter(~single).select("anchor", "sh", "chk", "n", at, "hot", "text").unionByName(again)), "distinct")
+        discard(first)
     shards = max(1, int(distinct.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]) // units.shard)
 
     def of_shard(table: pa.Table) -> pa.Table:
@@ -275,7 +309,7 @@ def repeated(rows: DataFrame, units: Units, search: Callable[[Shard, pa.Table],
 def removed(rows: DataFrame, ranges_: DataFrame) -> DataFrame:
     """rows with cuts: the window ranges (lo, hi) that ranges_ (did, th, lo, hi) has for them."""
     own = ranges_.groupBy("did", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("cuts"))
-    return rows.join(own, ["did", "th"], "left")
+    return rows.join(own.hint("shuffle_hash"), ["did", "th"], "left")
 
 
 def covered(cuts: list[dict] | None, window: int) -> list[tuple[int, int]]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from ._text import small_batches, utf8
 from .fm_index import FMIndex
-from .repeats import Shard, Units, covered, keyed, removed, repeated
+from .repeats import Shard, Units, carried, covered, keyed, removed, repeated
 
 WINDOW, GRAM = 35, 12
 
@@ -36,7 +36,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, te
     rows = keyed(docs, text, doc_id)
     places, _, found = repeated(rows, Units(window, gram, True), _search(window))
     single = found.filter("n = 1").selectExpr("did", "th", "start + lo AS lo", "start + hi AS hi")
-    many = places.join(found.filter("n > 1").select("anchor", "sh", "lo", "hi"), ["anchor", "sh"]).selectExpr("did", "th", "start + lo AS lo", "start + hi AS hi")
+    many = carried(places, found.filter("n > 1").select("anchor", "sh", "lo", "hi")).selectExpr("did", "th", "start + lo AS lo", "start + hi AS hi")
     return rows, single.unionByName(many)
 
 

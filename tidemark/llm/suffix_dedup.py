@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._text import U, mixed, ngrams, small_batches, utf8
-from .repeats import Shard, Units, covered, keyed, removed, repeated
+from .repeats import Shard, Units, carried, covered, keyed, removed, repeated
 from .suffix_array import permuted_prefixes, suffix_array
 
 WINDOW, GRAM = 100, 36
@@ -80,7 +80,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, te
     places, distinct, found = repeated(rows, Units(window, gram, False), _search(window), 1 << 18)
     firsts = found.selectExpr("did", "th", "start + lo AS lo", "start + hi AS hi")
     many = distinct.filter("n > 1").select("anchor", "sh", F.col("did").alias("fd"), F.col("th").alias("ft"), F.col("start").alias("fs"))
-    others = places.join(many, ["anchor", "sh"]).filter("NOT (did = fd AND th = ft AND start = fs)").selectExpr("did", "th", "start AS lo", "start + n_windows - 1 AS hi")
+    others = carried(places, many).filter("NOT (did = fd AND th = ft AND start = fs)").selectExpr("did", "th", "start AS lo", "start + n_windows - 1 AS hi")
     return rows, firsts.unionByName(others)
 
 
