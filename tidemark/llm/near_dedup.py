@@ -1,6 +1,7 @@
 """Near-duplicates by MinHash with sequential Bayesian verification.
 
-1. Texts become sets of word shingles (64-bit hashes). Texts with equal sets are one class from here on.
+1. Texts become sets of word shingles (64-bit hashes). Texts whose sorted full sets have one cryptographic digest are one
+   class from here on.
 2. Class representatives get BANDS * ROWS minima; those that share a band are in one bucket. At a similarity of 0.8 a
    pair shares no band with a probability of (1 - 0.8 ** 4) ** 32 < 5e-8.
 3. Each document is first paired with one other only: of the least members of its buckets, the one that it shares most
@@ -20,6 +21,7 @@ Rows without a doc_id are linked with nothing. Repeated rows are one class. Othe
 
 from __future__ import annotations
 
+from hashlib import blake2b
 from math import comb
 
 import numpy as np
@@ -34,7 +36,8 @@ from .components import components
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, BATCH, MISS = 32, 4, 16, 1e-7
-BLOCK = 1500
+#: Members of a block, and shingles of all of them, about.
+BLOCK, LOAD = 1500, 1 << 22
 #: Pairs that are compared at a time, and in a task, about; rows of one part of a table.
 PAIRS, PAIRS_A_TASK, PART = 1 << 17, 1 << 28, 1 << 16
 _FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=U)) | U(1)
@@ -98,8 +101,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
             for d in range(len(at) - 1):
                 own = np.unique(x[at[d] : at[d + 1]])
                 size[d] = len(own)
-                with np.errstate(over="ignore"):
-                    k1[d], k2[d] = own.sum(dtype=U), mixed(own ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=U)
+                k1[d], k2[d] = np.frombuffer(blake2b(own.tobytes(), digest_size=16).digest(), U)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array([s.tobytes() for s in sig], pa.binary())], ["doc_id", "n_shingles", "k1", "k2", "sig"])
 
     return docs.mapInArrow(make, "doc_id long, n_shingles long, k1 long, k2 long, sig binary")
@@ -116,14 +118,14 @@ def _band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
-    """bucket and id for every band of every representative."""
+    """bucket, id and size of the set for every band of every representative."""
 
     def make(batches):
         for batch in batches:
             key = _band_keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["bucket", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), *(pa.array(np.repeat(batch.column(c).to_numpy(), BANDS)) for c in (0, 2))], ["bucket", "id", "size"])
 
-    return reps.select("id", "sig").mapInArrow(make, "bucket long, id long")
+    return reps.select("id", "sig", F.col("n_shingles").cast("int").alias("size")).mapInArrow(make, "bucket long, id long, size int")
 
 
 def _surviving(pairs: DataFrame, reps: DataFrame, steps) -> DataFrame:
@@ -185,12 +187,13 @@ def _cross_pairs(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, part: np.n
 
 
 def _involved(buckets: DataFrame, labels: DataFrame, reps: DataFrame, steps, block: int, percent: int = PERCENT) -> DataFrame:
-    """bucket, p, q, part, id, component: members with a surviving pair, of buckets with members from different components. Members of a bucket's largest component need not meet each other: they are dealt to blocks of their own, and each block of the others meets these and each other one in a group. So a bucket of one large component and a few others is read about once, whatever its size."""
+    """bucket, p, q, part, id, component: members with a surviving pair, of buckets with members from different components. Members of a bucket's largest component need not meet each other: they are dealt to blocks of their own, and each block of the others meets these and each other one in a group. Blocks are bounded by their members and by their sets' sizes, for the texts of two are held later on. So a bucket of one large component and a few others is read about once, whatever its size."""
     member = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    counts = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed_up = counts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("kinds")).filter("kinds > 1")
-    blocks = lambda n: F.ceil(n / block).cast("int")
-    mixed_up = written(mixed_up.select("bucket", F.col("main")["component"].alias("main"), blocks(F.col("main")["n"]).alias("mains"), blocks(F.col("n") - F.col("main")["n"]).alias("rests"), F.col("n").alias("members")), "mixed")
+    counts = member.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    mixed_up = counts.groupBy("bucket").agg(F.max(F.struct("n", "component", "size")).alias("main"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("kinds")).filter("kinds > 1")
+    blocks = lambda n, size: F.greatest(F.ceil(n / block), F.ceil(size / LOAD)).cast("int")
+    main = F.col("main")
+    mixed_up = written(mixed_up.select("bucket", main["component"].alias("main"), blocks(main["n"], main["size"]).alias("mains"), blocks(F.col("n") - main["n"], F.col("size") - main["size"]).alias("rests"), F.col("n").alias("members")), "mixed")
     # the work is pairs, not bytes: tasks are as many as it needs
     work = mixed_up.agg(F.coalesce(F.sum(F.least(F.col("members"), F.lit(2 * block)) * F.col("members") * F.col("rests")), F.lit(0))).first()[0]
     tasks = max(int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(work // PAIRS_A_TASK))
@@ -278,7 +281,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, miss
     links = links.union(ids.join(one, "doc_id").filter("id <> one").select(F.col("one").alias("a"), F.col("id").alias("b")))
     labels = written(components(links), "labels")
 
-    involved = written(_involved(buckets.select("bucket", "id"), labels, reps, steps, block, percent), "involved")
+    involved = written(_involved(buckets.select("bucket", "id", "size"), labels, reps, steps, block, percent), "involved")
     discard(buckets)
     discard(reps)
     if involved.limit(1).count():
