@@ -1,3 +1,4 @@
+import gzip
 import json
 import random
 
@@ -7,11 +8,12 @@ from pyspark.sql import functions as F
 from tidemark import __main__ as cli
 from tidemark.config import PipelineConfig
 from tidemark.functions.parse import parsed, with_prelude
-from tidemark.operators import batching, ledger, transactions
+from tidemark.operators import batching, ledger, metrics, transactions
 from tidemark.operators.ordered import running
 from tidemark.plans.replicate import batches, flushes, messages
 from tidemark.sinks.delivery import Retry
 from tidemark.sinks.queues import kafka_tls, placeholder, put_kinesis
+from tidemark.sinks.wiring import sink_for
 from tidemark.sources import slot
 from tidemark.sources.replay import ReplaySource, stream_log
 from tidemark.sources.wal import event_stats, wal_events
@@ -168,6 +170,30 @@ def test_nothing_is_acknowledged_that_the_sink_did_not_write(spark, tmp_path):
     raw.unpersist()
 
 
+def test_sinks_by_config_report_what_was_written(spark, tmp_path):
+    raw = _large_transaction(spark, 400).cache()
+    for k in range(0, 405, 150):
+        raw.filter(f"ingest_seq >= {k} AND ingest_seq < {k + 150}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    config = PipelineConfig(sink="s3", partition_method="tablename", batch_size=60, key_space="lake/raw", tags={"env": "test"})
+    out = tmp_path / "objects"
+    out.mkdir()
+
+    def put(key, data):
+        (out / key.replace("/", "_")).write_bytes(data)
+
+    acked, samples = [], []
+    report = lambda s, e: samples.extend((e, r["component"], r["stat_name"], r["value"]) for r in s.collect())
+    replicate(stream_log(spark, str(tmp_path / "in")), config, sink_for(config, put, retry=Retry(first_s=0, total_s=0)), str(tmp_path / "cp"), acknowledge=acked.append, metrics=report).awaitTermination(300)
+    lines = [json.loads(x) for f in out.iterdir() for x in gzip.decompress(f.read_bytes()).decode().splitlines()]
+    assert len(lines) == 401 and all(f.name.startswith("lake_raw_") for f in out.iterdir())
+    assert acked[-1] == 404 * 10 + 1000
+    total = lambda c, n: sum(v for _, a, b, v in samples if (a, b) == (c, n))
+    assert total("marshaller", "success") == total("batcher", "batch_size") == 401 and total("progress_tracker", "ledger_flushed") == 2
+    tagged = metrics.datadog_metrics(spark.createDataFrame([(0, "c", "count", "u", "n", 1)], "bucket_ns long, component string, stat_type string, unit string, stat_name string, value long"), tags=config.tags)
+    assert tagged.first()["tags"] == ["env:test"]
+    raw.unpersist()
+
+
 def test_report_loop(spark, data, tmp_path):
     event_stats(spark, data).coalesce(1).write.parquet(str(tmp_path / "s"))
     got = []

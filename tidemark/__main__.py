@@ -58,8 +58,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
 
-    from .plans.replicate import routed
-    from .sinks.lines import print_batch
+    from .sinks.wiring import sink_for
     from .sources.replay import ReplaySource
     from .sources.slot import SlotSource
     from .streaming.pipeline import replicate
@@ -71,12 +70,9 @@ def main(argv: list[str] | None = None) -> int:
     reader = spark.readStream.option("maxRowsPerBatch", str(config.client_buffer))
     raw = reader.format("wal_replay").option("path", args.log).load() if args.log else reader.format("wal_slot").option("connect", args.connect).option("slot", args.slot).load()
 
-    def lines(batched, epoch):
-        print_batch(batched.join(routed(batched, config).select("partition_key", "batch_no", "worker"), ["partition_key", "batch_no"]), epoch)
-
     if config.sink != "stdout" and not args.send:
         raise SystemExit(f"--send is needed for {config.sink}")
-    send = _function(args.send) if args.send else lines
+    send = _function(args.send) if args.send else sink_for(config)
     every = {"processingTime": f"{config.tick_ms} milliseconds"}
     query = replicate(raw, config, send, args.checkpoint, every)
     if args.once:

@@ -48,6 +48,7 @@ def stdout_lines(reports: DataFrame) -> DataFrame:
     return reports.select(F.concat_ws(" ", time_text(F.floor(F.col("bucket_ns") / 1_000_000).cast("long")), "component", "stat_name", "unit", F.col("value").cast("string")).alias("line"))
 
 
-def datadog_metrics(reports: DataFrame, prefix: str = "cdc") -> DataFrame:
-    """Metric names and kinds as a statsd client takes them."""
-    return reports.select(F.concat_ws(".", F.lit(prefix), "component", "stat_name", "unit").alias("metric"), F.when(F.col("stat_type") == "count", "count").otherwise("gauge").alias("kind"), "value", "bucket_ns")
+def datadog_metrics(reports: DataFrame, prefix: str = "cdc", tags: dict[str, str] | None = None) -> DataFrame:
+    """Metric names and kinds as a statsd client takes them, with tags (name:value) where there are any."""
+    out = reports.select(F.concat_ws(".", F.lit(prefix), "component", "stat_name", "unit").alias("metric"), F.when(F.col("stat_type") == "count", "count").otherwise("gauge").alias("kind"), "value", "bucket_ns")
+    return out.withColumn("tags", F.array(*[F.lit(f"{k}:{v}") for k, v in sorted(tags.items())])) if tags else out

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
 from ..operators import batching, ledger, transactions
+from ..plans import counters
 from ..plans.replicate import batches, messages, written_counts
 from ..store import dropped, landed
 
@@ -40,14 +41,15 @@ class Carried:
         return self.spark.read.schema(table.schema).parquet(where.toString())
 
 
-def replicate(raw: DataFrame, config: PipelineConfig, sink: Callable[[DataFrame, int], DataFrame | None], checkpoint: str, trigger: dict | None = None, acknowledge: Callable[[int], None] | None = None) -> StreamingQuery:
+def replicate(raw: DataFrame, config: PipelineConfig, sink: Callable[[DataFrame, int], DataFrame | None], checkpoint: str, trigger: dict | None = None, acknowledge: Callable[[int], None] | None = None, metrics: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Every micro-batch of a stream of raw messages goes through the batch plan, and its batches to sink(batched, epoch).
 
     Transactions may be cut anywhere by micro-batches: the open transaction of each slot, the next batch number of each
     partition key, and the ledger's entries are carried to the next one. A micro-batch's open batches are sent at its
     end, so batch numbers go on and none is used twice. What was seen stands in the ledger before the sink is called;
     sink may return what it has written (transaction, time_based_key, count), or else all that it was given counts.
-    acknowledge(lsn) is called when the contiguous prefix of complete transactions grows; positions only rise. Epochs
+    acknowledge(lsn) is called when the contiguous prefix of complete transactions grows; positions only rise.
+    metrics(samples, epoch) is given the counters of the marshaller, the batcher and the ledger. Epochs
     are delivered at least once, under the same batch numbers when they come again."""
 
     def run(raw_batch: DataFrame, epoch: int) -> None:
@@ -77,7 +79,11 @@ def replicate(raw: DataFrame, config: PipelineConfig, sink: Callable[[DataFrame,
         done = held.filter("in_prefix").agg(F.max_by("commit_wal_start", "ledger_seq").alias("acked_lsn"))
         was = state.before("acked", epoch, ACKED)
         acked = state.leave("acked", epoch, was.unionByName(done).agg(F.max("acked_lsn").alias("acked_lsn")))
-        dropped(rows, batched, held)
+        if metrics:
+            size = held.agg(F.count_if("in_prefix").alias("ledger_flushed"), F.count_if(~F.col("in_prefix")).alias("ledger_size"))
+            samples = counters.marshaller(rows).unionByName(counters.batcher(batched)).unionByName(counters.progress(size))
+            metrics(samples.withColumn("timestamp_ns", F.unix_micros(F.current_timestamp()) * 1000), epoch)
+        dropped(rows, batched, held, *getattr(report, "_tidemark_tables", ()))
         if acknowledge:
             lsn, old = acked.first()[0], was.agg(F.max("acked_lsn")).first()[0]
             if lsn is not None and lsn != old:
