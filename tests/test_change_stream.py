@@ -106,6 +106,13 @@ def test_flushes_of_the_data_path(spark, data):
     assert sum(rest) < 30_000
 
 
+def test_messages_without_a_key_stop_the_query(spark, data):
+    config = PipelineConfig(sink="s3", partition_method="tablename")
+    rows = messages(wal_events(spark, data), config)
+    with pytest.raises(Exception, match="no partition key"):
+        batches(rows.withColumn("partition_key", F.when(F.col("ingest_seq") != 11, F.col("partition_key"))), config).select("operation", "batch_no").collect()
+
+
 def test_messages_without_columns_fail_and_are_not_written(spark, data):
     config = PipelineConfig(sink="kinesis", partition_method="tablename")
     rows = messages(wal_events(spark, data), config).withColumn("failed", F.col("ingest_seq") % 40 == 1).withColumn("json", F.when(~F.col("failed"), F.col("json")))

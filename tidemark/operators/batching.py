@@ -36,6 +36,11 @@ def invalid(json: Column, key: Column) -> Column:
     return json.isNull() | key.isNull() | (F.length(key) == 0)
 
 
+def fatal(messages: DataFrame, wrong: Column, why: str) -> DataFrame:
+    """messages; the first for which wrong holds stops the query. For what neither drops a message nor leaves it for the next batch."""
+    return messages.withColumn("operation", F.when(F.coalesce(wrong, F.lit(False)), F.raise_error(F.lit(why)).cast("string")).otherwise(F.col("operation")))
+
+
 def kafka_size(json: Column, key: Column | None = None) -> Column:
     """The size that a Kafka producer's client reckons a record to have: key, value and the most that its framing takes."""
     return F.octet_length(json) + (F.coalesce(F.octet_length(key), F.lit(0)) if key is not None else F.lit(0)) + KAFKA_OVERHEAD

@@ -41,7 +41,7 @@ def record_key(config: PipelineConfig) -> Column | None:
 def batches(rows: DataFrame, config: PipelineConfig) -> DataFrame:
     """Messages with batch_no, as the sink wants them, and why a message has none: failed (it has no JSON), invalid (the sink's client refuses it), dropped (it is too big; it counts as written all the same)."""
     key = record_key(config)
-    body = batching.rows_only(rows)
+    body = batching.fatal(batching.rows_only(rows), F.col("partition_key").isNull(), "a message has no partition key")
     refused = batching.invalid(F.col("json"), key) if config.sink == "kinesis" else F.lit(False)
     marked = body.withColumn("invalid", ~F.col("failed") & refused)
     good = marked.filter("NOT failed AND NOT invalid")
