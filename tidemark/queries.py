@@ -51,6 +51,11 @@ def rows(s: SparkSession, d: str) -> DataFrame:
     return marshalled(late.withColumn("partition_key", F.col("relation")))
 
 
+def slim(s: SparkSession, d: str) -> DataFrame:
+    """What batch numbers and the ledger need of messages, keyed by table: neither text nor JSON. Landed, as they read it several times."""
+    return landed(transactions.stamped(with_prelude(wal.wal_events(s, d))).select("ingest_seq", "operation", "relation", "transaction", "time_based_key", "wal_start", "server_time_ms", F.col("relation").alias("partition_key")), "slim")
+
+
 EV = """
 x AS (SELECT event_id // 8 AS xid, min((epoch_us(ts) // 1000)) AS lo, max((epoch_us(ts) // 1000)) AS hi FROM events GROUP BY 1),
 w AS (
@@ -331,6 +336,11 @@ def e13_marshal_failure(s, d):
 
 # ---- F: batches
 
+def numbered(s, d):
+    """In batches of 100, without what is in them."""
+    return batching.count_batches(slim(s, d), 100)
+
+
 def batched(s, d):
     """In batches of 100. Messages are landed first: several plans below read them, and each would parse the log again."""
     return batching.count_batches(landed(rows(s, d), "messages"), 100)
@@ -341,7 +351,7 @@ _BATCH_COLUMNS = "partition_key, batch_no, n_messages, n_bytes, first_seq, last_
 
 @query(f"WITH {EVJ} SELECT seq AS ingest_seq, rel AS partition_key, (row_number() OVER (PARTITION BY rel ORDER BY seq) - 1) // 100 AS batch_no FROM j")
 def f2_count_batches(s, d):
-    return batched(s, d).select("ingest_seq", "partition_key", "batch_no")
+    return numbered(s, d).select("ingest_seq", "partition_key", "batch_no")
 
 
 @query(f"""WITH RECURSIVE {EVJ},
@@ -428,7 +438,7 @@ def f15_txn_totals(s, d):
 
 @query(f"WITH {BATCHED} SELECT rel AS partition_key, batch_no, xid::VARCHAR AS transaction, tkey AS time_based_key, count(*) AS count FROM b GROUP BY ALL")
 def f16_batch_txns(s, d):
-    return batching.batch_transactions(batched(s, d))
+    return batching.batch_transactions(numbered(s, d))
 
 
 @query(f"WITH {BATCHED} SELECT {_BATCH_COLUMNS} FROM bs")
@@ -446,7 +456,7 @@ p AS (SELECT *, min(complete::INT) OVER (ORDER BY ledger_seq ROWS UNBOUNDED PREC
 
 
 def _ledger(s, d):
-    m = landed(rows(s, d), "messages")
+    m = slim(s, d)
     b = batching.count_batches(m, 100)
     return ledger.ledger(transactions.totals(m), batching.batch_transactions(b.filter("batch_no % 13 <> 12")))
 
@@ -471,9 +481,9 @@ p AS (SELECT *, min(complete::INT) OVER (ORDER BY o RANGE UNBOUNDED PRECEDING) =
 
 
 def _written_first(s, d):
-    m = landed(rows(s, d), "messages")
+    m = slim(s, d)
     b = landed(batching.count_batches(m, 100), "batched")
-    sent = batching.batch_summary(b).select("partition_key", "batch_no", F.col("last_seq").alias("report_seq"))
+    sent = b.groupBy("partition_key", "batch_no").agg(F.max("ingest_seq").alias("report_seq"))
     written = batching.batch_transactions(b).join(sent, ["partition_key", "batch_no"])
     return ledger.ledger(transactions.totals(m.filter("CAST(transaction AS long) % 5 <> 0")), written)
 
@@ -505,7 +515,7 @@ def g9_remaining(s, d):
 
 @query(f"WITH {BATCHED} SELECT xid::VARCHAR AS transaction, tkey AS time_based_key, count(*) AS left, nullif(count(*) FILTER (batch_no % 13 <> 12), 0) AS right FROM b GROUP BY ALL HAVING count(*) <> count(*) FILTER (batch_no % 13 <> 12)".replace("AS left", 'AS "left"').replace("AS right", 'AS "right"'))
 def g10_compare(s, d):
-    b = landed(batched(s, d), "batched")
+    b = landed(numbered(s, d), "batched")
     return ledger.unequal_counts(batching.batch_transactions(b), batching.batch_transactions(b.filter("batch_no % 13 <> 12")))
 
 
@@ -544,7 +554,7 @@ def h5_kinesis_key(s, d):
 
 @query(f"WITH {EVJ}, b AS (SELECT *, (row_number() OVER (PARTITION BY rel ORDER BY seq) - 1) // 100 AS batch_no FROM j) SELECT seq AS ingest_seq, tkey AS by_txn, xid::VARCHAR AS by_xid, rel AS by_table, rel || '/' || batch_no AS by_batch FROM b")
 def h7_kafka_key(s, d):
-    b = batched(s, d).withColumn("id", F.concat_ws("/", "partition_key", F.col("batch_no").cast("string")))
+    b = numbered(s, d).withColumn("id", F.concat_ws("/", "partition_key", F.col("batch_no").cast("string")))
     args = [F.col(c) for c in ("time_based_key", "transaction", "relation", "id")]
     names = {"transaction": "by_txn", "transaction-constant": "by_xid", "tablename": "by_table", "batch": "by_batch"}
     return b.select("ingest_seq", *[keys.kafka_key(m, *args).alias(n) for m, n in names.items()])
@@ -565,7 +575,7 @@ def h13_written_report(s, d):
 
 @query(f"WITH {BATCHED} SELECT xid::VARCHAR AS transaction, tkey AS time_based_key, count(*) AS count FROM b GROUP BY ALL")
 def h13_written_all(s, d):
-    return batching.batch_transactions(batched(s, d)).groupBy("transaction", "time_based_key").agg(F.sum("count").alias("count"))
+    return batching.batch_transactions(numbered(s, d)).groupBy("transaction", "time_based_key").agg(F.sum("count").alias("count"))
 
 
 @query(f"WITH {BATCHED} SELECT partition_key, batch_no, n_messages AS written, (1 + (batch_no % 3 = 1)::INT)::INT AS attempts FROM bs")
