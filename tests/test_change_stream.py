@@ -1,6 +1,7 @@
 import gzip
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tidemark.sinks.wiring import sink_for
 from tidemark.sources import slot
 from tidemark.sources.replay import ReplaySource, stream_log
 from tidemark.sources.wal import event_stats, wal_events
-from tidemark.streaming.pipeline import replicate, report_loop
+from tidemark.streaming.pipeline import replicate, replicate_by_age, report_loop
 
 
 # ---- running values
@@ -201,6 +202,24 @@ def test_sinks_by_config_report_what_was_written(spark, tmp_path):
     raw.unpersist()
 
 
+def test_batches_by_age_in_the_data_path(spark, tmp_path):
+    raw = _large_transaction(spark, 40).cache()
+    for k in range(0, 45, 15):
+        raw.filter(f"ingest_seq >= {k} AND ingest_seq < {k + 15}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    config, got = PipelineConfig(sink="s3", partition_method="tablename", batch_size=8, update_age_ms=1500, max_age_ms=4000, tick_ms=200, whitelist=("public.t0", "public.t1")), []
+    q = replicate_by_age(stream_log(spark, str(tmp_path / "in")), config, lambda b, e: got.extend(b.collect()), str(tmp_path / "cp"))
+    deadline = time.time() + 120
+    while sum(r["n_messages"] for r in got) < 27 and time.time() < deadline:
+        time.sleep(0.5)
+    q.stop()
+    lines = {r["partition_key"]: [json.loads(x) for b in sorted(got, key=lambda b: b["batch_no"]) if b["partition_key"] == r["partition_key"] for x in b["body"].split("\n")] for r in got}
+    want = {k: [i for i in (*range(1, 41), 43) if i % 3 == k] for k in (0, 1)}
+    assert {k: [int(x["columns"]["id"]["new"]["v"]) for x in v] for k, v in lines.items()} == {f"public.t{k}": v for k, v in want.items()}
+    assert all(x["txn"] == ("7-0" if x["time_ms"] < 42 else "8-42") for v in lines.values() for x in v)
+    assert {r["reason"] for r in got} >= {"full"} and {r["reason"] for r in got} & {"idle", "old"} and all(r["n_messages"] <= 8 for r in got)
+    raw.unpersist()
+
+
 def test_report_loop(spark, data, tmp_path):
     event_stats(spark, data).coalesce(1).write.parquet(str(tmp_path / "s"))
     got = []

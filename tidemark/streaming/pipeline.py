@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
+from ..functions.parse import with_prelude
 from ..operators import batching, ledger, transactions
 from ..plans import counters
 from ..plans.replicate import batches, messages, written_counts
 from ..store import dropped, landed
+from .stateful import age_batches, stamp_stream
 
 OPEN = "slot string, xid string, key string"
 NUMBERS = "partition_key string, next_no long"
@@ -92,6 +94,19 @@ def replicate(raw: DataFrame, config: PipelineConfig, sink: Callable[[DataFrame,
     return raw.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def restamped(wal: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
+    """A stream of rows with their prelude, stamped with state. The prelude is read again after the state, which hands on texts but nothing that follows from them."""
+    out = stamp_stream(wal, strict=False).withColumnRenamed("transaction", "_xid")
+    return with_prelude(out, mode=mode).withColumn("transaction", F.col("_xid")).drop("_xid")
+
+
+def replicate_by_age(raw: DataFrame, config: PipelineConfig, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Batches stay open across micro-batches, in state, until they are full (config.size), idle (update_age_ms) or old (max_age_ms); a tick (tick_ms) looks for those. sink(batches, epoch) is given partition_key, batch_no, reason, n_messages, first_seq and body (JSON lines)."""
+    rows = messages(raw, config, stamp=lambda wal: restamped(wal, config.parse_mode))
+    closed = age_batches(rows, config.size, config.update_age_ms, config.max_age_ms)
+    return closed.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(processingTime=f"{config.tick_ms} milliseconds").start()
+
+
 def _merged(entries: DataFrame) -> DataFrame:
     return entries.groupBy("transaction", "time_based_key").agg(F.sum("total_msgs").alias("total_msgs"), F.max("commit_wal_start").alias("commit_wal_start"), F.max("ledger_seq").alias("ledger_seq"), F.sum("written").alias("written"))
 
