@@ -25,7 +25,6 @@ from hashlib import blake2b
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +36,9 @@ from .components import components
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, BATCH, MISS = 32, 4, 16, 1e-7
 #: Members of a block, and shingles of all of them, about.
-BLOCK, LOAD = 1500, 1 << 22
-#: Pairs that are compared at a time, and in a task, about; rows of one part of a table.
-PAIRS, PAIRS_A_TASK, PART = 1 << 17, 1 << 28, 1 << 16
+BLOCK, LOAD = 256, 1 << 21
+#: Pairs that are compared at a time, and in a task, about; texts that a task verifies; rows of one part of a table.
+PAIRS, PAIRS_A_TASK, MEMBERS_A_TASK, PART = 1 << 17, 1 << 28, 1 << 12, 1 << 16
 _FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=U)) | U(1)
 
 
@@ -227,33 +226,37 @@ def _involved(buckets: DataFrame, labels: DataFrame, reps: DataFrame, steps, blo
 def _cross_links(involved: DataFrame, texts: DataFrame, n: int, percent: int, steps) -> DataFrame:
     """Links between components, verified on full sets inside each group: once two components are known to be linked there, their other pairs are not looked at."""
 
-    def verify(group: pd.DataFrame) -> pd.DataFrame:
-        x, at = shingles([t.encode() for t in group["text"]], n)
-        sets = [np.unique(x[at[i] : at[i + 1]]) for i in range(len(group))]
-        order = np.argsort([len(s) for s in sets], kind="stable")
-        sets = [sets[i] for i in order]
-        size = np.array([len(s) for s in sets])
-        sig = signatures(np.concatenate(sets), np.concatenate([[0], np.cumsum(size)]))
-        ids, comp, part, p, q, bucket = (group[c].to_numpy()[order] for c in ("id", "component", "part", "p", "q", "bucket"))
-        up: dict[int, int] = {}
-
-        def top(c: int) -> int:
-            while up.get(c, c) != c:
-                c = up[c]
-            return c
-
-        out = []
-        for left, right in _cross_pairs(sig, size, comp, part, np.zeros(len(ids), np.int64), p == q, bucket, steps, percent):
-            for i, j in zip(left.tolist(), right.tolist(), strict=True):
-                if top(comp[i]) == top(comp[j]):
-                    continue
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * common >= percent * (size[i] + size[j] - common):
-                    up[top(comp[i])] = top(comp[j])
-                    out.append((ids[i], ids[j]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return involved.join(texts.hint("merge"), "id").groupBy("bucket", "p", "q").applyInPandas(verify, "a long, b long")
+    def verify(batches):
+        for table, group in whole_groups(batches, ["bucket", "p", "q"], 256):
+            x, at = shingles(utf8(table.column("text")), n)
+            sets = [np.unique(x[at[i] : at[i + 1]]) for i in range(len(group))]
+            order = np.lexsort(([len(s) for s in sets], group))
+            sets, group = [sets[i] for i in order], group[order]
+            size = np.array([len(s) for s in sets])
+            sig = signatures(np.concatenate(sets), np.concatenate([[0], np.cumsum(size)]))
+            ids, comp, part, p, q, bucket = (table.column(c).to_numpy()[order] for c in ("id", "component", "part", "p", "q", "bucket"))
+            up: dict[tuple[int, int], tuple[int, int]] = {}
+
+            def top(c: tuple[int, int], up=up) -> tuple[int, int]:
+                while up.get(c, c) != c:
+                    c = up[c]
+                return c
+
+            out = []
+            for left, right in _cross_pairs(sig, size, comp, part, group, p == q, bucket, steps, percent):
+                for i, j in zip(left.tolist(), right.tolist(), strict=True):
+                    a, b = top((int(group[i]), int(comp[i]))), top((int(group[j]), int(comp[j])))
+                    if a == b:
+                        continue
+                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * common >= percent * (size[i] + size[j] - common):
+                        up[a] = b
+                        out.append((ids[i], ids[j]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    tasks = max(int(involved.sparkSession.conf.get("spark.sql.shuffle.partitions")), involved.count() // MEMBERS_A_TASK)
+    both = involved.join(texts.hint("merge"), "id").repartition(tasks, "bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "id")
+    return both.mapInArrow(verify, "a long, b long")
 
 
 def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, miss: float = MISS, block: int = BLOCK, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
