@@ -71,13 +71,14 @@ def line_fails(line: Column, following: Column) -> Column:
     solid, low = without(line, SPACES), F.lower(line)
     n = F.length(solid)
     unfinished = ~line.rlike(f"[{MARKS}]") & ~F.coalesce(following.rlike(rf"^{_SPACE}*\p{{Ll}}"), F.lit(False))
-    return (
+    marked = (
         (F.length(line) - F.length(without(line, "|")) >= 2)
         | line.rlike("[»›]")
         | ((n - F.length(without(solid, SYMBOLS))) * 100 > n * MAX_SYMBOLS)
         | ((F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("")))) >= 6)
-        | F.when(line.rlike(LONG_RX), unfinished).otherwise(low.rlike(NOTICES_RX) | low.rlike(ACTIONS_RX))
     )
+    # most lines hold none of the characters that these count
+    return F.when(line.rlike(f"[{SYMBOLS}»›]|!!"), marked).otherwise(False) | F.when(line.rlike(LONG_RX), unfinished).otherwise(low.rlike(NOTICES_RX) | low.rlike(ACTIONS_RX))
 
 
 def _repeated(hashes: Column) -> Column:
@@ -114,10 +115,11 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with clean_text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_bad_lines, lost_chars, base_failed and kept."""
     made = ["_words", "_lines", "_good", "_hashes"]
     t = _text(F.col(text))
-    one = docs.withColumns({"_words": _once(words_of(F.col(text))), "_lines": _once(F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))), "word_chars": F.length(without(t, SPACES)).cast("long"), "n_symbols": (F.length(t) - F.length(without(t, SYMBOLS))).cast("long")})
+    one = docs.withColumns({"_words": _once(words_of(F.col(text))), "_lines": _once(F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))), "n_symbols": F.when(t.rlike(f"[{SYMBOLS}]"), F.length(t) - F.length(without(t, SYMBOLS))).otherwise(0).cast("long")})
     two = one.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
+            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "_good": _once(F.filter("_lines", lambda x, i: ~line_fails(x, F.get("_lines", i + 1)))),
             "_hashes": _once(F.when(F.size("_words") >= WINDOW, _windows(F.transform("_words", lambda w: F.xxhash64(w))))),
@@ -130,7 +132,7 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_repeat_words": F.when(F.size(F.array_distinct("_hashes")) < F.size("_hashes"), _repeated(F.col("_hashes"))).otherwise(0).cast("long"),
         }
     )
-    four = three.withColumns({"lost_chars": F.col("word_chars") - F.length(without(F.col("clean_text"), SPACES)), "base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)})
+    four = three.withColumns({"lost_chars": F.when(F.col("n_bad_lines") > 0, F.col("word_chars") - F.length(without(F.col("clean_text"), SPACES))).otherwise(0).cast("long"), "base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)})
     return four.withColumn("kept", _once(~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * MAX_LOST))).drop(*made)
 
 
