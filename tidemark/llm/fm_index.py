@@ -1,5 +1,6 @@
 """A compressed full-text index of a shard: the Burrows-Wheeler transform in a wavelet tree of packed bit rows, with
-backward search and matching statistics. All searches run for many patterns at once."""
+backward search and matching statistics. Beside the tree a row has 13 bytes: its common prefix (one byte), the rows
+next to it with shorter ones, and the weights before it. All searches run for many patterns at once."""
 
 from __future__ import annotations
 
@@ -81,22 +82,23 @@ class FMIndex:
         self.before = np.cumsum(counts) - counts
         self.tree = WaveletTree(text[sa - 1])
         weight = np.append(np.repeat(weights, lens + 1), 0)
-        self.weight = np.concatenate([[0], np.cumsum(weight[sa])])
+        total = np.concatenate([[0], np.cumsum(weight[sa])])
+        self.weight = total.astype(np.int32) if total[-1] < 1 << 31 else total
         # common prefixes of neighbours, by ranks of halving lengths
         a, b = sa[:-1], sa[1:]
         lcp = np.zeros(n - 1, np.int64)
         for k in range(len(ranks) - 1, -1, -1):
             i, j = np.minimum(a + lcp, n - 1), np.minimum(b + lcp, n - 1)
             lcp += (1 << k) * (ranks[k][i] == ranks[k][j])
-        self.lcp = np.concatenate([[0], np.minimum(lcp, longest), [0]])  # lcp[i]: of rows i - 1 and i
-        self.left, self.right = np.zeros(n + 1, np.int64), np.full(n + 1, n)
-        at = np.arange(n + 1)
+        self.lcp = np.concatenate([[0], np.minimum(lcp, longest), [0]]).astype(np.min_scalar_type(longest))  # lcp[i]: of rows i - 1 and i
+        # the nearest rows on both sides with a shorter prefix
+        self.left, self.right = np.zeros(n + 1, np.int32), np.full(n + 1, n, np.int32)
         for v in range(1, longest + 1):
-            mine = self.lcp == v
-            if mine.any():
-                low = self.lcp < v
-                self.left[mine] = np.maximum.accumulate(np.where(low, at, 0))[mine]
-                self.right[mine] = np.minimum.accumulate(np.where(low, at, n)[::-1])[::-1][mine]
+            mine = np.flatnonzero(self.lcp == v)
+            if len(mine):
+                low = np.flatnonzero(self.lcp < v)
+                after = np.searchsorted(low, mine)
+                self.left[mine], self.right[mine] = low[after - 1], low[after]
 
     def extended(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward step: rows of c and the pattern."""
