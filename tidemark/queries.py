@@ -363,7 +363,7 @@ g AS (
   FROM g JOIN o ON o.rel = g.rel AND o.rn = g.rn + 1)
 SELECT j.seq AS ingest_seq, j.rel AS partition_key, strlen(j.json) > 330 AS dropped, g.batch_no FROM j LEFT JOIN g USING (seq)""")
 def f3_kinesis_batches(s, d):
-    return batching.byte_batches(rows(s, d), F.col("partition_key"), max_records=90, max_bytes=20_000, max_record=330).select("ingest_seq", "partition_key", "dropped", "batch_no")
+    return batching.byte_batches(landed(rows(s, d), "messages"), F.col("partition_key"), max_records=90, max_bytes=20_000, max_record=330).select("ingest_seq", "partition_key", "dropped", "batch_no")
 
 
 def _insert_docs_sql() -> str:
@@ -388,7 +388,7 @@ def f4_kafka_batches(s, d):
 
 @query(f"WITH {EVJ} SELECT tkey AS time_based_key, count(*) AS total_msgs, count(*) FILTER (strlen(json) > 330) AS dropped FROM j GROUP BY tkey")
 def f5_too_big(s, d):
-    m = batching.byte_batches(rows(s, d), F.col("partition_key"), max_record=330)
+    m = batching.byte_batches(landed(rows(s, d), "messages"), F.col("partition_key"), max_record=330)
     return m.groupBy("time_based_key").agg(F.count("*").alias("total_msgs"), F.count_if("dropped").alias("dropped"))
 
 
