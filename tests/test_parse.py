@@ -5,11 +5,11 @@ from tidemark.functions.parse import parsed
 
 X = "table public.x: INSERT: "
 CASES = {
-    "BEGIN 566": ("BEGIN", "", "566", {}, {}),
-    "COMMIT 566": ("COMMIT", "", "566", {}, {}),
-    "table public.customers: UPDATE: id[integer]:7 first_name[text]:'Hello' last_name[text]:'World7'": ("UPDATE", "public.customers", None, {"id": ("7", "integer", False), "first_name": ("Hello", "text", True), "last_name": ("World7", "text", True)}, {}),
-    "table public.customers: TRUNCATE: (no-flags)": ("TRUNCATE", "public.customers", None, {}, {}),
-    "table public.customers, public.orders: TRUNCATE: cascade": ("TRUNCATE", "public.customers, public.orders", None, {}, {}),
+    "BEGIN 81": ("BEGIN", "", "81", {}, {}),
+    "COMMIT 81": ("COMMIT", "", "81", {}, {}),
+    "table geo.parcels: UPDATE: parcel[integer]:31 lane[text]:'Mill Lane' town[text]:'Telc 588'": ("UPDATE", "geo.parcels", None, {"parcel": ("31", "integer", False), "lane": ("Mill Lane", "text", True), "town": ("Telc 588", "text", True)}, {}),
+    "table geo.parcels: TRUNCATE: (no-flags)": ("TRUNCATE", "geo.parcels", None, {}, {}),
+    "table geo.parcels, geo.owners: TRUNCATE: cascade": ("TRUNCATE", "geo.parcels, geo.owners", None, {}, {}),
     X + "(no-tuple-data)": ("INSERT", "public.x", None, {}, {}),
     "table public.x: UPDATE: old-key: id[integer]:1 v[text]:'a b' new-tuple: id[integer]:1 v[text]:unchanged-toast-datum": (
         "UPDATE", "public.x", None, {"id": ("1", "integer", False), "v": ("unchanged-toast-datum", "text", False)}, {"id": ("1", "integer", False), "v": ("a b", "text", True)},
@@ -21,7 +21,7 @@ CASES = {
     X + "a[text]:'line\none: [x]' b[text]:''": ("INSERT", "public.x", None, {"a": ("line\none: [x]", "text", True), "b": ("", "text", True)}, {}),
     'table public."odd: name": DELETE: id[integer]:2': ("DELETE", 'public."odd: name"', None, {"id": ("2", "integer", False)}, {}),
 }
-WRONG = ["foo", "COMMIT 5 extra", "hello world", "", None, X + "a[text]x", X, "table public.x", "table public.x: UPDATE: old-key:", X + "a[text]:'open"]
+WRONG = ["nil", "COMMIT 5 extra", "no such kind", "", None, X + "a[text]x", X, "table public.x", "table public.x: UPDATE: old-key:", X + "a[text]:'open"]
 
 
 def _frame(spark, texts):
@@ -42,7 +42,7 @@ def test_messages(spark):
 def test_wrong_messages(spark):
     assert [r["parse_error"] is not None for r in parsed(_frame(spark, WRONG)).orderBy("i").collect()] == [True] * len(WRONG)
     with pytest.raises(Exception, match="unknown message"):
-        parsed(_frame(spark, ["foo"]), mode="FAILFAST").select("operation").collect()
+        parsed(_frame(spark, ["nil"]), mode="FAILFAST").select("operation").collect()
 
 
 def test_long_values_with_many_quotes(spark):
