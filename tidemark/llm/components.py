@@ -9,7 +9,9 @@ from ._store import discard, written
 
 
 def _met(rows: DataFrame, least: DataFrame, parts: int) -> DataFrame:
-    """rows (u, v) with m of their u. A node with very many edges meets its m once for each part of them."""
+    """rows (u, v) with m of their u. A node with very many edges meets its m once for each part of them (of one part: at once)."""
+    if parts == 1:
+        return rows.join(least, "u")
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(parts)))
     return dealt.join(dealt.select("u", "part").distinct().join(least, "u"), ["u", "part"])
 
@@ -32,7 +34,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """id and component (the least id reachable) of every id that has an edge to another. A few rounds, each written; sums by node are taken before rows meet, and a node with very many edges is met in parts."""
     x, y = F.col(a).cast("long"), F.col(b).cast("long")
     e = written(edges.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).filter("u > v").distinct(), "edges")
-    mark, parts = None, max(1, e.count() >> 16) * 32
+    mark, parts = None, max(1, 32 * (e.count() >> 20))  # a million edges of one node are no burden
     while True:
         new = written(_small_star(_large_star(e, parts).distinct(), parts).distinct(), "edges")
         discard(e)

@@ -38,7 +38,7 @@ BANDS, ROWS, BATCH, MISS = 32, 4, 16, 1e-7
 #: Members of a block, and shingles of all of them, about.
 BLOCK, LOAD = 256, 1 << 21
 #: Pairs that are compared at a time, and in a task, about; texts that a task verifies; rows of one part of a table.
-PAIRS, PAIRS_A_TASK, MEMBERS_A_TASK, PART = 1 << 17, 1 << 28, 1 << 12, 1 << 16
+PAIRS, PAIRS_A_TASK, MEMBERS_A_TASK, PART = 1 << 17, 1 << 27, 1 << 11, 1 << 16
 _FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=U)) | U(1)
 
 
@@ -195,7 +195,7 @@ def _involved(buckets: DataFrame, labels: DataFrame, reps: DataFrame, steps, blo
     mixed_up = written(mixed_up.select("bucket", main["component"].alias("main"), blocks(main["n"], main["size"]).alias("mains"), blocks(F.col("n") - main["n"], F.col("size") - main["size"]).alias("rests"), F.col("n").alias("members")), "mixed")
     # the work is pairs, not bytes: tasks are as many as it needs
     work = mixed_up.agg(F.coalesce(F.sum(F.least(F.col("members"), F.lit(2 * block)) * F.col("members") * F.col("rests")), F.lit(0))).first()[0]
-    tasks = max(int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(work // PAIRS_A_TASK))
+    tasks = max(buckets.sparkSession.sparkContext.defaultParallelism, int(work // PAIRS_A_TASK))
     own = F.col("component") == F.col("main")
     place = F.xxhash64("id")
     dealt = (
@@ -254,7 +254,7 @@ def _cross_links(involved: DataFrame, texts: DataFrame, n: int, percent: int, st
                         out.append((ids[i], ids[j]))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    tasks = max(int(involved.sparkSession.conf.get("spark.sql.shuffle.partitions")), involved.count() // MEMBERS_A_TASK)
+    tasks = max(involved.sparkSession.sparkContext.defaultParallelism, involved.count() // MEMBERS_A_TASK)
     both = involved.join(texts.hint("merge"), "id").repartition(tasks, "bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "id")
     return both.mapInArrow(verify, "a long, b long")
 
